@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.near_dedup import near_duplicates
+from folioframe.llm.sharding import shard_by_bytes
 from folioframe.llm.substring_dedup import substring_dedup
+from folioframe.llm.topk_search import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,9 +70,34 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.do
 """
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), k=20)
+
+
+OP2_SQL = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM v),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.c * c.c) AS BIGINT) AS score
+    FROM e q JOIN e c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 GROUP BY 1, 2),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_by_bytes(_table(spark, sf_dir, "documents"), shards=8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_topk_search": op2_topk_search,
+        "op5_byte_shards": op5_byte_shards,
         "op7_near_dedup": op7_near_dedup,
     }
 
@@ -78,5 +105,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": OP1_SQL,
+        "op2_topk_search": OP2_SQL,
         "op7_near_dedup": OP7_SQL,
     }
