@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioframe.llm.decontaminate import contaminated
 from folioframe.llm.near_dedup import near_duplicates
+from folioframe.llm.packing import pack_documents
 from folioframe.llm.sharding import shard_by_bytes
 from folioframe.llm.substring_dedup import substring_dedup
 from folioframe.llm.topk_search import top_k
@@ -88,17 +91,28 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_by_bytes(_table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_topk_search": op2_topk_search,
+        "op4_packing": op4_packing,
         "op5_byte_shards": op5_byte_shards,
         "op7_near_dedup": op7_near_dedup,
+        "op9_decontamination": op9_decontamination,
     }
 
 

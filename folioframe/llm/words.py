@@ -23,6 +23,9 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
+#: Everything in ASCII but letters and digits: for words without punctuation.
+PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -60,7 +63,7 @@ class Words:
     document's first word (one more entry than documents); hash: 64-bit word hashes.
     """
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool = True):
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool = True, separator: np.ndarray = _SEPARATOR):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks() if texts.num_chunks != 1 else texts.chunk(0)
         texts = texts.cast(pa.large_string())
@@ -74,11 +77,11 @@ class Words:
             if texts.null_count:  # null is like no text, whatever bytes lie below it
                 gone = ~np.asarray(texts.is_valid()) & (np.diff(offsets) > 0)
                 if gone.any():
-                    return self.__init__(texts.fill_null(""), lower, hashes)
+                    return self.__init__(texts.fill_null(""), lower, hashes, separator)
         else:
             offsets, raw = np.zeros(1, np.int64), np.zeros(0, np.uint8)
         self.n_docs, self.data, self.offsets = n, raw, offsets
-        inside = ~_SEPARATOR[raw]
+        inside = ~separator[raw]
         before = np.zeros(len(raw), dtype=bool)
         before[1:] = inside[:-1]
         cuts = offsets[:-1][np.diff(offsets) > 0]
