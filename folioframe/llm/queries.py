@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from folioframe.llm.decontaminate import contaminated
 from folioframe.llm.near_dedup import near_duplicates
 from folioframe.llm.packing import pack_documents
+from folioframe.llm.quality import score_quality
+from folioframe.llm.quotations import reply_conversations
 from folioframe.llm.sharding import shard_by_bytes
 from folioframe.llm.substring_dedup import substring_dedup
 from folioframe.llm.topk_search import top_k
@@ -91,6 +93,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -105,14 +111,68 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_conversations(_table(spark, sf_dir, "conversations"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE m AS (
+    SELECT row_number() OVER () AS id, conv_id, turn, role,
+           regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS text FROM conversations),
+l AS (SELECT id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM m),
+q AS (
+    SELECT id, i, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+'), '[^>]', '', 'g')) AS level,
+           regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', '') AS body FROM l),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY id, level ORDER BY i) AS run FROM q),
+b AS (SELECT id, level, min(i) AS at, max(i) AS last, string_agg(body, chr(10) ORDER BY i) AS body FROM r GROUP BY id, level, run),
+o AS (
+    SELECT q.id, coalesce(regexp_replace(string_agg(q.body, chr(10) ORDER BY q.i) FILTER (
+               q.level = 0 AND NOT (coalesce(n.level, 0) > 0 AND regexp_matches(q.body,
+                   '(?i)^.{0,200}(^|[^\w])(wrote|writes|écrit|schrieb|escribió|escreveu)[ \t]*:[ \t]*$'))), '^\s+|\s+$', '', 'g'), '') AS own
+    FROM q LEFT JOIN q n ON n.id = q.id AND n.i = q.i + 1 GROUP BY q.id),
+p AS (
+    SELECT id, row_number() OVER (PARTITION BY id ORDER BY at) - 1 AS passage, level, body FROM b
+    WHERE level > 0 AND regexp_matches(body, '\S')),
+texts AS (
+    SELECT id, NULL AS passage, NULL AS level, own AS body FROM o UNION ALL SELECT id, passage, level, body FROM p),
+units AS (
+    SELECT id, passage, level, 0 AS rank, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS u FROM texts
+    UNION ALL
+    SELECT id, passage, level, 1, u FROM (
+        SELECT id, passage, level, trim(regexp_replace(lower(unnest(string_split(body, chr(10)))), '\s+', ' ', 'g')) AS u FROM texts)
+    WHERE len(string_split(u, ' ')) >= 4),
+origin AS (
+    SELECT conv_id, u, min(turn) AS origin FROM units JOIN m USING (id)
+    WHERE passage IS NULL AND u <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
+link AS (
+    SELECT m.conv_id, m.turn, passage, level, arg_min(origin, (rank, origin)) AS origin
+    FROM units JOIN m USING (id) JOIN origin x ON x.conv_id = m.conv_id AND x.u = units.u
+    WHERE passage IS NOT NULL AND x.origin < m.turn GROUP BY 1, 2, 3, 4),
+reply AS (
+    SELECT conv_id, turn, arg_min(origin, (level, -origin)) AS up, count(DISTINCT passage) AS n_linked FROM link GROUP BY 1, 2),
+climb AS (
+    SELECT conv_id, turn, up AS root FROM reply
+    UNION SELECT c.conv_id, c.turn, r.up FROM climb c JOIN reply r ON r.conv_id = c.conv_id AND r.turn = c.root),
+root AS (SELECT conv_id, turn, min(root) AS root FROM climb GROUP BY 1, 2),
+depth AS (SELECT id, count(*) AS n_quotes, max(level) AS quote_depth FROM p GROUP BY id)
+SELECT m.conv_id, m.turn, m.role, coalesce(root.root, m.turn) AS thread, reply.up AS reply_to,
+       CAST(coalesce(depth.quote_depth, 0) AS BIGINT) AS quote_depth, coalesce(depth.n_quotes, 0) AS n_quotes,
+       coalesce(reply.n_linked, 0) AS n_linked, o.own AS text
+FROM m JOIN o USING (id) LEFT JOIN reply ON reply.conv_id = m.conv_id AND reply.turn = m.turn
+LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn LEFT JOIN depth ON depth.id = m.id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_topk_search": op2_topk_search,
+        "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op5_byte_shards": op5_byte_shards,
         "op7_near_dedup": op7_near_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_quotations": op10_quotations,
     }
 
 
@@ -121,4 +181,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_substring_dedup": OP1_SQL,
         "op2_topk_search": OP2_SQL,
         "op7_near_dedup": OP7_SQL,
+        "op10_quotations": OP10_SQL,
     }
