@@ -16,6 +16,7 @@ from folioframe.llm.quotations import reply_conversations
 from folioframe.llm.sharding import shard_by_bytes
 from folioframe.llm.substring_dedup import substring_dedup
 from folioframe.llm.topk_search import top_k
+from folioframe.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +108,11 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), eligible="crc32(cast(id AS string)) % 5 <> 0")
+    return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"), "score", "predicted")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -124,14 +130,14 @@ q AS (
     SELECT id, i, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]?)+'), '[^>]', '', 'g')) AS level,
            regexp_replace(line, '^[ \t]*(?:>[ \t]?)+', '') AS body FROM l),
 r AS (SELECT *, i - row_number() OVER (PARTITION BY id, level ORDER BY i) AS run FROM q),
-b AS (SELECT id, level, min(i) AS at, max(i) AS last, string_agg(body, chr(10) ORDER BY i) AS body FROM r GROUP BY id, level, run),
+b AS (SELECT id, level, min(i) AS at_line, string_agg(body, chr(10) ORDER BY i) AS body FROM r GROUP BY id, level, run),
 o AS (
     SELECT q.id, coalesce(regexp_replace(string_agg(q.body, chr(10) ORDER BY q.i) FILTER (
                q.level = 0 AND NOT (coalesce(n.level, 0) > 0 AND regexp_matches(q.body,
                    '(?i)^.{0,200}(^|[^\w])(wrote|writes|écrit|schrieb|escribió|escreveu)[ \t]*:[ \t]*$'))), '^\s+|\s+$', '', 'g'), '') AS own
     FROM q LEFT JOIN q n ON n.id = q.id AND n.i = q.i + 1 GROUP BY q.id),
 p AS (
-    SELECT id, row_number() OVER (PARTITION BY id ORDER BY at) - 1 AS passage, level, body FROM b
+    SELECT id, row_number() OVER (PARTITION BY id ORDER BY at_line) - 1 AS passage, level, body FROM b
     WHERE level > 0 AND regexp_matches(body, '\S')),
 texts AS (
     SELECT id, NULL AS passage, NULL AS level, own AS body FROM o UNION ALL SELECT id, passage, level, body FROM p),
@@ -171,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_byte_shards": op5_byte_shards,
         "op7_near_dedup": op7_near_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_decontamination": op9_decontamination,
         "op10_quotations": op10_quotations,
     }

@@ -63,7 +63,7 @@ class Words:
     document's first word (one more entry than documents); hash: 64-bit word hashes.
     """
 
-    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool = True, separator: np.ndarray = _SEPARATOR):
+    def __init__(self, texts: pa.Array | pa.ChunkedArray, lower: bool = False, hashes: bool = True, separator: np.ndarray = _SEPARATOR, prefixes: tuple[int, ...] = ()):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks() if texts.num_chunks != 1 else texts.chunk(0)
         texts = texts.cast(pa.large_string())
@@ -77,7 +77,7 @@ class Words:
             if texts.null_count:  # null is like no text, whatever bytes lie below it
                 gone = ~np.asarray(texts.is_valid()) & (np.diff(offsets) > 0)
                 if gone.any():
-                    return self.__init__(texts.fill_null(""), lower, hashes, separator)
+                    return self.__init__(texts.fill_null(""), lower, hashes, separator, prefixes)
         else:
             offsets, raw = np.zeros(1, np.int64), np.zeros(0, np.uint8)
         self.n_docs, self.data, self.offsets = n, raw, offsets
@@ -92,6 +92,8 @@ class Words:
         after[cuts[cuts > 0] - 1] = False
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, offsets).astype(np.int64)
+        #: for each length in bytes, the hash of each word's beginning (a shorter word's is that of the word)
+        self.prefix = {k: np.empty(len(self.start), dtype=U64) for k in prefixes}
         self.hash = self._hashes(lower) if hashes else None
 
     def __len__(self) -> int:
@@ -113,7 +115,10 @@ class Words:
             total = np.zeros(to - at + 1, dtype=U64)
             np.cumsum(values, out=total[1:])
             s, e = self.start[lo:hi] - at, self.end[lo:hi] - at
-            out[lo:hi] = (total[e] - total[s]) * _power_table(_BASE, to - at, True)[s]
+            back = _power_table(_BASE, to - at, True)[s]
+            out[lo:hi] = (total[e] - total[s]) * back
+            for k, prefix in self.prefix.items():
+                prefix[lo:hi] = mix64((total[np.minimum(e, s + k)] - total[s]) * back)
             lo = hi
         return mix64(out)
 
