@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -101,7 +102,7 @@ def _pack_batches(tokenizer: str, end_id: int, capacity: int):
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0))
+            sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
             at = 0
             while at < len(sizes):
                 fit = int(np.searchsorted(np.cumsum(sizes[at : at + BATCH_DOCS]), BATCH_BYTES, side="right"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from folioframe.llm.decontaminate import contaminated
 from folioframe.llm.near_dedup import near_duplicates
 from folioframe.llm.packing import pack_documents
+from folioframe.llm.pii import find_pii
 from folioframe.llm.quality import score_quality
 from folioframe.llm.quotations import reply_conversations
 from folioframe.llm.sharding import shard_by_bytes
@@ -108,6 +109,11 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_pii(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), eligible="crc32(cast(id AS string)) % 5 <> 0")
     return out.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0).alias("held_out"), "score", "predicted")
@@ -176,6 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op5_byte_shards": op5_byte_shards,
+        "op6_pii": op6_pii,
         "op7_near_dedup": op7_near_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_decontamination": op9_decontamination,
