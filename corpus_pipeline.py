@@ -1,15 +1,68 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline of the training-data operators: quality, near duplicates, benchmark leaks, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all documents that the stage before kept, and returns a
+DataFrame; all but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from folioframe.llm.decontaminate import contaminated
+from folioframe.llm.near_dedup import near_duplicates
+from folioframe.llm.packing import pack_documents
+from folioframe.llm.pii import redact_pii
+from folioframe.llm.quality import keep_good
+from folioframe.llm.shared import written
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, that with the smallest id."""
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+    return _without(docs, gone)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    gone = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
+    return _without(docs, gone)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind."""
+    return redact_pii(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The texts as tokens, packed into sequences."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs without the ids in gone; a null id stays."""
+    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", packing),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
