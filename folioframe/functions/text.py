@@ -211,7 +211,7 @@ def valid_id(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def xml_characters(text: Column) -> Column:
     """Characters that XML forbids become question marks."""
-    return F.regexp_replace(text, r"[^\x09\x0A\x0D\x20-퟿-�\x{10000}-\x{10FFFF}]", "?")
+    return F.regexp_replace(text, r"[^\x09\x0A\x0D\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]", "?")
 
 
 def email_of_anchor(text: Column) -> Column:
