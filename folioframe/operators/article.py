@@ -61,10 +61,11 @@ def journal_meta(xml: Node, d: Doc) -> None:
 
 
 def article_ids(xml: Node, d: Doc) -> None:
-    meta = _front(xml)
+    """Pids by the name of their scheme, a parameter (the collection's own name), and the other ids."""
+    meta, scheme = _front(xml), (d.get("params") or {}).get("pid-scheme", "pid")
     for version in ("v1", "v2", "v3"):
-        if d.get(f"scielo_pid_{version}"):
-            meta.add(Node("article-id", {"pub-id-type": "publisher-id", "specific-use": f"scielo-{version}"}, clean(d[f"scielo_pid_{version}"])))
+        if d.get(f"pid_{version}"):
+            meta.add(Node("article-id", {"pub-id-type": "publisher-id", "specific-use": f"{scheme}-{version}"}, clean(d[f"pid_{version}"])))
     if d.get("aop_pid"):
         meta.add(Node("article-id", {"specific-use": "previous-pid"}, clean(d["aop_pid"])))
     if d.get("internal_sequence_id"):
@@ -451,7 +452,7 @@ def article_xml(documents: Column) -> Column:
 def assemble_articles(docs: DataFrame, journals: DataFrame, cited: DataFrame, bodies: DataFrame | None = None, licenses: DataFrame | None = None) -> DataFrame:
     """(pid, xml, errors): documents joined to their journal (by ISSN), citations, body (pid, xml_body) and licenses (pid, language, url, text)."""
     refs = cited.groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("n", citations.as_json(cited, ("c_record", "path", "grp")).alias("c")))).alias("_refs"))
-    j = journals.select(F.col("scielo_issn").alias("_issn"), F.struct("acronym", "title", "abbreviated_title", "print_issn", "electronic_issn", "publisher_name", "publisher_city", "publisher_state", "publisher_country").alias("journal"))
+    j = journals.select(F.col("issn_id").alias("_issn"), F.struct("acronym", "title", "abbreviated_title", "print_issn", "electronic_issn", "publisher_name", "publisher_city", "publisher_state", "publisher_country").alias("journal"))
     own = [c for c in docs.columns if c not in ("h_record", "o_record", "citations", "p_records", "path", "grp")]
     rows = docs.select(*own).join(refs, "pid", "left").join(j, F.substring("pid", 2, 9) == F.col("_issn"), "left")
     if bodies is not None:

@@ -37,7 +37,7 @@ publication_level 330 1
 languages 350 *
 abstract_languages 360 *
 periodicity 380 1
-scielo_issn 400 1
+issn_id 400 1
 title_nlm 421 1
 typed_issns 435 * _=value,t=type
 subject_descriptors 440 *
@@ -48,7 +48,7 @@ publisher_city 490 1
 license_code 541 1
 license_texts 540 * t=html,l=language
 previous_title 610 1
-scielo_domain 690 1
+domain 690 1
 submission_url 692 1
 publishing_model 699 1
 next_title 710 1
@@ -87,13 +87,13 @@ supplement_number 132 1
 is_marked_up 200 1
 license_code 541 1
 license_texts 540 * t=html,l=language
-scielo_domain 690 1
+domain 690 1
 publisher_id 880 1
 collection_acronym 992 1
 """
 
 DOCUMENT = """
-scielo_pid_v1_raw 002 1
+pid_v1_raw 002 1
 assets_code 004 1
 authors 010 * 1=xref,k=orcid,l=lattes,n=given_names,p=prefix,r=role,s=surname
 corporative_authors 011 *
@@ -133,11 +133,11 @@ any_issn 435 * _=value,t=type
 license_code 541 1
 license_html 540 * t=html,l=language
 languages 601 *
-scielo_domain 690 1
+domain 690 1
 file_code 702 1
-scielo_pid_v2 880 1
+pid_v2 880 1
 aop_pid 881 1
-scielo_pid_v3 885 1
+pid_v3 885 1
 collection_acronym 992 1
 """
 

@@ -180,7 +180,7 @@ def documents(groups: DataFrame) -> DataFrame:
     return (
         rows.withColumn("processing_date", field("o_record", "v091", single=True, simple=True))
         .withColumn("supplement", F.coalesce(filled("vol_suppl"), filled("num_suppl")))
-        .withColumn("scielo_pid_v1", F.when(F.length("scielo_pid_v1_raw") == 23, F.col("scielo_pid_v1_raw")))
+        .withColumn("pid_v1", F.when(F.length("pid_v1_raw") == 23, F.col("pid_v1_raw")))
         .withColumn("original_title", _get(F.try_element_at(titles, F.lit(1)), "text"))
         .withColumn("translated_titles", rest(titles))
         .withColumn("title_by_language", last_by(rest(titles), "language", "text"))
