@@ -146,7 +146,7 @@ p AS (
     SELECT id, row_number() OVER (PARTITION BY id ORDER BY at_line) - 1 AS passage, level, body FROM b
     WHERE level > 0 AND regexp_matches(body, '\S')),
 texts AS (
-    SELECT id, NULL AS passage, NULL AS level, own AS body FROM o UNION ALL SELECT id, passage, level, body FROM p),
+    SELECT id, CAST(NULL AS BIGINT) AS passage, CAST(NULL AS BIGINT) AS level, own AS body FROM o UNION ALL SELECT id, passage, level, body FROM p),
 units AS (
     SELECT id, passage, level, 0 AS rank, trim(regexp_replace(lower(body), '\s+', ' ', 'g')) AS u FROM texts
     UNION ALL

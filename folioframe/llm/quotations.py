@@ -28,7 +28,7 @@ def _normal(text: Column) -> Column:
 
 
 def parse_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``runs``: array of (level, body) in order, and ``own``: the text without quotes and their announcements."""
+    """Adds ``own``: the text without quotes and their announcements, and ``passages``: array of (level, body) in order."""
     lines = F.transform(
         F.split(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\r\n?", "\n"), "\n"),
         lambda line: F.struct(
@@ -36,25 +36,42 @@ def parse_quotes(messages: DataFrame, text: str = "text") -> DataFrame:
             F.regexp_replace(line, _MARK, "").alias("body"),
         ),
     )
-    df = messages.withColumn("lines", lines)
+
     # where a run of one level starts: first line, or another level than the line before
-    starts = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: (i == 1) | (F.col("lines")[i - 1]["level"] != F.get(F.col("lines"), i - 2)["level"]))
-    df = df.withColumn("starts", starts)
-    runs = F.transform(
-        "starts",
-        lambda s, k: F.struct(
-            F.col("lines")[s - 1]["level"].alias("level"),
-            F.transform(F.slice(F.col("lines"), s, F.coalesce(F.get("starts", k + 1), F.size("lines") + 1) - s), lambda x: x["body"]).alias("body"),
-        ),
-    )
-    df = df.withColumn("runs", runs)
-    own = F.transform(
-        F.filter(F.transform("runs", lambda r, k: F.struct(r["level"].alias("level"), r["body"].alias("body"), (F.coalesce(F.get("runs", k + 1)["level"], F.lit(0)) > 0).alias("quoted"))), lambda r: r["level"] == 0),
-        lambda r: F.when(r["quoted"] & F.element_at(r["body"], -1).rlike(_LEAD), F.slice(r["body"], 1, F.size(r["body"]) - 1)).otherwise(r["body"]),
-    )
-    own = F.regexp_replace(F.array_join(F.flatten(own), "\n"), r"^\s+|\s+$", "")
-    passages = F.transform(F.filter("runs", lambda r: r["level"] > 0), lambda r: F.struct(r["level"].alias("level"), F.array_join(r["body"], "\n").alias("body")))
-    return df.withColumn("own", own).withColumn("passages", F.filter(passages, lambda p: F.length(_normal(p["body"])) > 0)).drop("lines", "starts", "runs")
+    def starts(lines: Column) -> Column:
+        return F.filter(F.sequence(F.lit(1), F.size(lines)), lambda i: (i == 1) | (lines[i - 1]["level"] != F.get(lines, i - 2)["level"]))
+
+    def runs(lines: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda s, k: F.struct(
+                lines[s - 1]["level"].alias("level"),
+                F.transform(F.slice(lines, s, F.coalesce(F.get(starts, k + 1), F.size(lines) + 1) - s), lambda x: x["body"]).alias("body"),
+            ),
+        )
+
+    def parts(runs: Column) -> Column:
+        plain = F.transform(
+            runs,
+            lambda r, k: F.when(
+                r["level"] == 0,
+                F.when(
+                    (F.coalesce(F.get(runs, k + 1)["level"], F.lit(0)) > 0) & F.element_at(r["body"], -1).rlike(_LEAD),
+                    F.slice(r["body"], 1, F.size(r["body"]) - 1),
+                ).otherwise(r["body"]),
+            ),
+        )
+        own = F.regexp_replace(F.array_join(F.flatten(F.array_compact(plain)), "\n"), r"^\s+|\s+$", "")
+        passages = F.transform(F.filter(runs, lambda r: r["level"] > 0), lambda r: F.struct(r["level"].alias("level"), F.array_join(r["body"], "\n").alias("body")))
+        return F.struct(own.alias("own"), F.filter(passages, lambda p: F.length(_normal(p["body"])) > 0).alias("passages"))
+
+    found = _let(lines, lambda x: _let(starts(x), lambda s: _let(runs(x, s), parts)))
+    return messages.withColumn("parsed", found).select(*messages.columns, F.col("parsed.own").alias("own"), F.col("parsed.passages").alias("passages"))
+
+
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once: a column that lambdas refer to would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _units(text: Column, min_words: int) -> Column:
