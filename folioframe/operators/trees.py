@@ -13,6 +13,8 @@ from html.parser import HTMLParser
 # Elements without content, and those that an opening tag of the same kind closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_SAME = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+#: Elements nested deeper than this become siblings.
+DEEPEST = 200
 _ILLEGAL = re.compile("[^\t\n\r\x20-퟿-�\U00010000-\U0010ffff]")
 
 
@@ -144,7 +146,7 @@ class _Builder(HTMLParser):
             if tag == "tr" and self.at.tag == "tr":
                 self.at = self.at.parent
         node = self.at.add(Node(tag, {k: clean(v) for k, v in attrs if re.fullmatch(r"[A-Za-z_][\w.:-]*", k)}))
-        if tag not in VOID:
+        if tag not in VOID and sum(1 for _ in node.ancestors()) < DEEPEST:
             self.at = node
 
     def handle_startendtag(self, tag, attrs):

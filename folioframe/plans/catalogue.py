@@ -551,3 +551,42 @@ def guessed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderstatus AS rec_type, count(*) AS n FROM orders GROUP BY 1")
 def record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("rec_type")).agg(F.count("*").alias("n"))
+
+
+# ---- trees (no SQL: invariants are tested) -----------------------------------------------------
+
+
+@query()
+def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements of every page by tag and depth, from the tolerant parser."""
+    from folioframe.operators import nodes
+
+    return nodes.node_table(_pages(spark, sf_dir), "page_id", "html").groupBy("page_id", "tag").agg(F.count("*").alias("n"), F.max("depth").alias("max_depth"))
+
+
+@query()
+def body_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folioframe.operators import body
+
+    parts = F.to_json(F.struct(F.col("html").alias("before")))
+    made = _pages(spark, sf_dir).select("page_id", body.convert_body(parts).alias("b"))
+    return made.select("page_id", F.col("b.xml").alias("xml"), F.size("b.errors").cast("long").alias("n_errors"))
+
+
+@query()
+def article_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as articles with a title, an author, a language and the converted body."""
+    from folioframe.operators import article, body
+
+    rows = _pages(spark, sf_dir).select(
+        "page_id",
+        body.convert_body(F.to_json(F.struct(F.col("html").alias("before"))))["xml"].alias("xml_body"),
+        F.col("url").alias("original_title"),
+        F.lit("oa").alias("document_type"),
+        F.lit("en").alias("original_language"),
+        F.array(F.create_map(F.lit("surname"), F.concat(F.lit("Author"), F.col("page_id").cast("string")))).alias("authors"),
+        F.lit("1").alias("start_page"),
+        F.lit("9").alias("end_page"),
+    )
+    made = rows.select("page_id", article.article_xml(F.to_json(F.struct(*[c for c in rows.columns if c != "page_id"]))).alias("a"))
+    return made.select("page_id", F.col("a.xml").alias("xml"), F.size("a.errors").cast("long").alias("n_errors"))
