@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioframe.functions.columns import last_of_each
+
 Hook = Callable[[Column], Column]
 
 _OCC = "map<string,string>"
@@ -25,15 +27,7 @@ def renamed(occ: Column, names: Mapping[str, str] | None) -> Column:
         return occ
     table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
     entries = F.transform(F.map_entries(occ), lambda e: F.struct(F.coalesce(F.try_element_at(table, e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
-    if len(set(names.values())) == len(names):
-        clash = F.size(F.array_distinct(F.transform(entries, lambda e: e["key"]))) < F.size(entries)
-        return F.when(~clash, F.map_from_entries(F.when(~clash, entries))).otherwise(F.map_from_entries(_last_of_each(entries)))
-    return F.map_from_entries(_last_of_each(entries))
-
-
-def _last_of_each(entries: Column) -> Column:
-    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda q: q["key"] == e["key"])
-    return F.filter(entries, lambda e, i: ~later(e, i))
+    return F.map_from_entries(last_of_each(entries, lambda e: e["key"]))
 
 
 def field(

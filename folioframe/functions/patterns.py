@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from folioframe.functions import pattern_tables as T
+from folioframe.functions.columns import let
 
 
 class Table:
@@ -44,11 +45,6 @@ class Table:
         return Table(out, self.anchored)
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value computed once, however often the body uses it; also keeps generated code small."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def label_table(words: Mapping[str, str] = T.LABEL_WORDS, extra: Mapping[str, list[str]] = T.LABEL_PATTERNS) -> Table:
     """A word with an optional number (of an appendix: a letter or digit) is a label; other patterns come after a type's words."""
     rows = []

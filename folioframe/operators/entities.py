@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioframe.functions import text as tx
+from folioframe.functions.columns import last_of_each, let
 from folioframe.functions.fields import field, raw_field, record_type
 from folioframe.operators import catalogue_fields as catalogue
 from folioframe.sources.isis import RECORD_TYPE, issue_order
@@ -41,7 +42,7 @@ def _get(c: Column | str, key: str) -> Column:
 def last_by(items: Column, key: str, value: str) -> Column:
     """A map from key to value of maps that have both; the last of equal keys wins."""
     ok = F.filter(items, lambda x: (F.coalesce(_get(x, key), F.lit("")) != "") & (F.coalesce(_get(x, value), F.lit("")) != ""))
-    last = F.filter(ok, lambda x, i: ~F.exists(F.slice(ok, i + 2, F.greatest(F.size(ok) - i - 1, F.lit(0))), lambda y: _get(y, key) == _get(x, key)))
+    last = last_of_each(ok, lambda x: _get(x, key))
     return F.map_from_entries(F.transform(last, lambda x: F.struct(_get(x, key).alias("key"), _get(x, value).alias("value"))))
 
 
@@ -112,9 +113,9 @@ def mission(lines: Column) -> Column:
         last = F.element_at(f["done"], -1)
         more = F.concat(F.slice(f["done"], 1, F.greatest(F.size(f["done"]) - 1, F.lit(0))), F.array(F.struct(last["key"].alias("key"), F.concat_ws("\n", last["value"], F.array_join(f["open"], "\n")).alias("value"))))
         entries = F.when((F.size(f["open"]) > 0) & (F.size(f["done"]) > 0), more).otherwise(f["done"])
-        return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda q: q["key"] == e["key"]))
+        return last_of_each(entries, lambda e: e["key"])
 
-    return F.map_from_entries(F.element_at(F.transform(F.array(folded), finish), 1))
+    return F.map_from_entries(let(folded, finish))
 
 
 # ---- issues ------------------------------------------------------------------------------------
@@ -204,9 +205,12 @@ def documents(groups: DataFrame) -> DataFrame:
 def keyword_groups(keywords: Column) -> Column:
     """Keywords (with their subkeys) by language, in order; those without a language are dropped."""
     ok = F.filter(keywords, lambda k: F.coalesce(_get(k, "language"), F.lit("")) != "")
-    langs = F.array_distinct(F.transform(ok, lambda k: _get(k, "language")))
-    texts = lambda lang: F.transform(F.filter(ok, lambda k: _get(k, "language") == lang), lambda k: F.concat_ws(", ", filled(_get(k, "text")), filled(_get(k, "subkey"))))
-    return F.map_from_arrays(langs, F.transform(langs, texts))
+
+    def grouped(words: Column) -> Column:
+        texts = lambda lang: F.transform(F.filter(words, lambda k: _get(k, "language") == lang), lambda k: F.concat_ws(", ", filled(_get(k, "text")), filled(_get(k, "subkey"))))
+        return let(F.array_distinct(F.transform(words, lambda k: _get(k, "language"))), lambda langs: F.map_from_arrays(langs, F.transform(langs, texts)))
+
+    return let(ok, grouped)
 
 
 def authors_with_affiliations(docs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folioframe.functions import fields, lookups, patterns
 from folioframe.functions import text as tx
+from folioframe.functions.columns import spread
 from folioframe.sources import isis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -561,7 +562,7 @@ def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elements of every page by tag and depth, from the tolerant parser."""
     from folioframe.operators import nodes
 
-    return nodes.node_table(_pages(spark, sf_dir), "page_id", "html").groupBy("page_id", "tag").agg(F.count("*").alias("n"), F.max("depth").alias("max_depth"))
+    return nodes.node_table(spread(_pages(spark, sf_dir)), "page_id", "html").groupBy("page_id", "tag").agg(F.count("*").alias("n"), F.max("depth").alias("max_depth"))
 
 
 @query()
@@ -569,7 +570,7 @@ def body_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioframe.operators import body
 
     parts = F.to_json(F.struct(F.col("html").alias("before")))
-    made = _pages(spark, sf_dir).select("page_id", body.convert_body(parts).alias("b"))
+    made = spread(_pages(spark, sf_dir)).select("page_id", body.convert_body(parts).alias("b"))
     return made.select("page_id", F.col("b.xml").alias("xml"), F.size("b.errors").cast("long").alias("n_errors"))
 
 
@@ -578,7 +579,7 @@ def article_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as articles with a title, an author, a language and the converted body."""
     from folioframe.operators import article, body
 
-    rows = _pages(spark, sf_dir).select(
+    rows = spread(_pages(spark, sf_dir)).select(
         "page_id",
         body.convert_body(F.to_json(F.struct(F.col("html").alias("before"))))["xml"].alias("xml_body"),
         F.col("url").alias("original_title"),

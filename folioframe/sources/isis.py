@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folioframe.functions.columns import last_of_each
+
 #: Codes that may follow ``^``; ``_`` is the part before the first one.
 SUBFIELD_CODES = "_abcdefghijklmnopqrstuvwxyz123456789"
 #: What an escaped ``\^`` becomes.
@@ -79,9 +81,7 @@ def subfields(content: Column, restore_escaped: bool = False) -> Column:
         return F.when(valid(x["code"]), F.concat(done, F.array(x))).when(F.size(done) == 0, done).otherwise(F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(glued)))
 
     items = F.filter(F.aggregate(pairs, none, glue), lambda p: p["value"] != "")
-    # the last of equal codes: keep an item if no later one has its code
-    last = F.filter(items, lambda p, i: ~F.exists(F.slice(items, i + 2, F.greatest(F.size(items) - i - 1, F.lit(0))), lambda q: q["code"] == p["code"]))
-    found = F.map_from_entries(last)
+    found = F.map_from_entries(last_of_each(items, lambda p: p["code"]))
     if restore_escaped:
         found = F.transform_values(found, lambda k, v: F.replace(v, F.lit(ESCAPED), F.lit("^")))
     return F.when(content.isNull() | (content == ""), None).otherwise(found)
