@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import difflib
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from folioframe.functions import pattern_tables as T
 from folioframe.functions.columns import let
@@ -348,3 +351,33 @@ def asset_type(path: Column) -> Column:
     found = F.coalesce(F.try_element_at(table, F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))), F.lit("other application octet-stream"))
     parts = F.split(found, " ")
     return F.struct(parts[0].alias("asset_type"), parts[1].alias("mimetype"), parts[2].alias("mime_subtype"))
+
+
+# ---- fuzzy section types -----------------------------------------------------------------------
+
+# Names that a short title may come close to; those after the types are no sections.
+SECTION_NAMES = ("cases", "conclusions", "data-availability", "discussion", "intro", "materials", "methods", "results", "subjects", "supplementary-material", "transcript")
+NO_SECTIONS = ("abstract", "resumen", "references", "agradecimientos", "acknownledge")
+SAME_AS = {"literatura citada": "references"}
+
+
+def py_close_names(title: str, n: int = 1, least: float = 0.1) -> list[str]:
+    """The names most like the title."""
+    return difflib.get_close_matches(title, [*SECTION_NAMES, *NO_SECTIONS], n, least)
+
+
+def py_fuzzy_section_type(title: str) -> str | None:
+    """Types of a title of up to three words by likeness: of three words, of the first and the last; null beyond."""
+    words = title.split(" ")
+    if len(words) > 3:
+        return None
+    asked = [words[0], words[-1]] if len(words) == 3 else [SAME_AS.get(title, title)]
+    found = [m for w in asked for m in py_close_names(w, 1, 0.6 if len(words) == 3 else 0.4)]
+    return "|".join(m for m in found if m not in NO_SECTIONS)
+
+
+@F.pandas_udf(StringType())
+def fuzzy_section_type(titles: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for s in titles:
+        known = {t: py_fuzzy_section_type(t) for t in s.dropna().unique()}
+        yield s.map(lambda t, known=known: None if t is None else known[t])

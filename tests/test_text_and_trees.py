@@ -153,3 +153,8 @@ def test_node_table_and_paragraphs(spark):
     rows = spark.createDataFrame([("x", i, f"t{i}", "7" if i in (2, 4) else None) for i in range(6)] + [("y", 0, "z", "1")], "pid string, pos int, text string, reference_index string")
     parts = {r.pid: r for r in paragraphs.part_texts(rows).collect()}
     assert parts["x"].before == "t0t1" and [r.text for r in parts["x"].refs] == ["t2", "t3", "t4"] and parts["x"].after == "t5" and parts["y"].before == "z"
+
+
+def test_fuzzy_section_types(spark):
+    titles = ["metodos", "resultados e discussao", "literatura citada", "a title of many words", "introduccion", None]
+    assert values(spark, p.fuzzy_section_type(F.col("t")), titles) == ["methods", "results|discussion", "", None, "intro", None]
