@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, that with the smallest id."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+    """One document of each group of near duplicates (similarity 0.8 or more) stays, that with the smallest id."""
+    gone = near_duplicates(docs, threshold=80).filter(~F.col("kept")).select("doc_id")
     return _without(docs, gone)
 
 

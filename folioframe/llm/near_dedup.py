@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from folioframe.llm.shared import components, lookup, written
 from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64
 
-TREES, DEPTH, SHINGLE = 16, 4, 5
+DEPTH, SHINGLE = 4, 5
+#: The most that two sets at the threshold may miss each other in all trees.
+MISS = 7.5e-6
 #: A run up to this size is compared in full; beyond it, neighbours and hubs are.
 FULL_RUN, NEIGHBOURS, HUBS = 48, 4, 8
 #: Shingles of a family or block that one task holds at once.
@@ -36,6 +38,12 @@ BLOCK_SHINGLES = 400_000
 FAMILY_HUBS = 32
 
 
+def trees_for(threshold: int) -> int:
+    """So many trees that two sets at the threshold meet in one but for ``MISS``: 16 at 85, 23 at 80."""
+    same = min(threshold, 99) / 100
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-(same**DEPTH))))
+
+
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(20240517)
     a = rng.integers(1, 1 << 63, n, dtype=np.int64).astype(U64) * U64(2) + U64(1)
@@ -79,7 +87,7 @@ def signatures(grams: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _sketch(shingle: int):
+def _sketch(shingle: int, trees: int):
     def sketch(batches):
         for batch in batches:
             n_rows = batch.num_rows
@@ -93,7 +101,7 @@ def _sketch(shingle: int):
                 np.cumsum(mix64(grams), out=sums[0][1:])
                 np.cumsum(mix64(grams ^ U64(0xC2B2AE3D27D4EB4F)), out=sums[1][1:])
                 h = [(s[first[1:]] - s[first[:-1]]).view(np.int64) for s in sums]
-                sig = signatures(grams, first, TREES * DEPTH)
+                sig = signatures(grams, first, trees * DEPTH)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(sizes, pa.int64()), pa.array(h[0]), pa.array(h[1]), pa.array([r.tobytes() for r in sig], pa.binary())],
                     ["id", "n", "h1", "h2", "sig"],
@@ -102,17 +110,21 @@ def _sketch(shingle: int):
     return sketch
 
 
-def _plant(batches):
+def _plant(trees: int):
     """A row for each class and tree: the prefix's hash and the signature's low bytes read from there on."""
-    for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, TREES * DEPTH)
-        low = mix64(sig.astype(U64)).astype(np.uint8)
-        for t in range(TREES):
-            key = np.full(len(sig), t, dtype=U64)
-            for j in range(DEPTH):
-                key = mix64(key * U64(0x9E3779B97F4A7C15) + sig[:, t * DEPTH + j])
-            path = np.roll(low, -t * DEPTH, axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(key.view(np.int64)), pa.array([r.tobytes() for r in path], pa.binary())], ["id", "key", "path"])
+
+    def plant(batches):
+        for batch in batches:
+            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), dtype=np.uint32).reshape(-1, trees * DEPTH)
+            low = mix64(sig.astype(U64)).astype(np.uint8)
+            for t in range(trees):
+                key = np.full(len(sig), t, dtype=U64)
+                for j in range(DEPTH):
+                    key = mix64(key * U64(0x9E3779B97F4A7C15) + sig[:, t * DEPTH + j])
+                path = np.roll(low, -t * DEPTH, axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(key.view(np.int64)), pa.array([r.tobytes() for r in path], pa.binary())], ["id", "key", "path"])
+
+    return plant
 
 
 class _Sets:
@@ -293,9 +305,9 @@ def _grams_of(shingle: int):
     return grams_of
 
 
-def _families(classes: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+def _families(classes: DataFrame, least: int, trees: int) -> tuple[DataFrame, DataFrame]:
     """Step 2: (id, family) of every class with a candidate, and (id, agree)."""
-    forest = classes.select("id", "sig").mapInArrow(_plant, "id long, key long, path binary")
+    forest = classes.select("id", "sig").mapInArrow(_plant(trees), "id long, key long, path binary")
     runs = forest.repartitionByRange(F.col("key"), F.col("path")).sortWithinPartitions("key", "path", "id")
     edges = written(runs.mapInArrow(_gather(least), "u long, v long, agree long"))
     family = components(edges.select("u", "v")).withColumnRenamed("component", "family")
@@ -317,13 +329,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * very long texts are hashed whole.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = written(rows.select("id", "text").mapInArrow(_sketch(shingle), "id long, n long, h1 long, h2 long, sig binary"))
+    trees = trees_for(threshold)
+    sketch = written(rows.select("id", "text").mapInArrow(_sketch(shingle, trees), "id long, n long, h1 long, h2 long, sig binary"))
     known = sketch.filter("n > 0 AND id IS NOT NULL")
     classes = written(known.groupBy("h1", "h2", "n").agg(F.min("id").alias("id"), F.first("sig").alias("sig")))
     # 4.5 standard deviations below the threshold, and low bytes that agree by chance
-    t, s = TREES * DEPTH, threshold / 100
+    t, s = trees * DEPTH, threshold / 100
     least = max(DEPTH, math.floor(t * (s - 4.5 * math.sqrt(s * (1 - s) / t))))
-    family, agree = _families(classes, least)
+    family, agree = _families(classes, least, trees)
 
     sized = family.join(classes.select("id", "n"), "id")
     weight = sized.groupBy("family").agg(F.sum("n").alias("weight"), F.count("*").alias("members"))
