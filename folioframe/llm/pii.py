@@ -2,7 +2,7 @@
 
 The fixed patterns (e-mail, IP address, card and phone numbers) give the seeds. A seed's lexical context, the words next to
 it on the left, on the right, and on both sides, induces patterns; so do identifier-like words (those with a digit or an
-at-sign) that no fixed pattern explains: they are the candidates, and those shaped like a kind can
+at-sign) and runs of words of digits with single blanks between them that no fixed pattern explains: they are the candidates, and those shaped like a kind can
 become one. Spark scores the graph between patterns and instances iteratively: a pattern is as good as the instances that stand in it, an instance as good as the patterns that it
 stands in (noisy or). Seeds keep score 1; junk that stands in a pattern lowers it. Patterns that are high at the end, seen
 with enough different seeds, label the candidates that stand in them.
@@ -13,7 +13,9 @@ Learned patterns are applied in a second pass over the whole texts, in blocks of
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +39,16 @@ SHAPES = {
     "card": re.compile(r"[0-9]([.-]?[0-9]){11,18}"),
     "phone": re.compile(r"[(+]?[0-9]([().-]{0,2}[0-9]){6,14}"),
 }
+#: Words of digits, brackets, dots, hyphens and plus signs with single blanks between them.
+_RUN = re.compile(r"(?<![0-9().+-])[0-9().+-]++(?: [0-9().+-]++)++")
+_DOTTED = re.compile(r"[0-9]+(\.[0-9]+){2,}")
 _EDGES = re.compile(r"^[^0-9A-Za-z+@]+|[^0-9A-Za-z]+$")
-_WORD_BEFORE = re.compile(r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$")
-_WORD_AFTER = re.compile(r"[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)")
-
 ROUNDS = 3
 #: A pattern needs this score and so many different seeds.
 PATTERN_SCORE, PATTERN_SEEDS = 0.9, 5
 BROADCAST_PATTERNS = 200_000
-#: Characters of a word that count as context; longer ones are cut to these.
-WORD = 40
+#: Longer contexts and values are known by a digest of the whole.
+WORD, VALUE = 40, 200
 
 
 def luhn(digits: str) -> bool:
@@ -84,22 +86,104 @@ def _has_signs(texts: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(pc.match_substring_regex(texts, "[0-9@]"), False))
 
 
-def _context(text: str, start: int, end: int) -> list[str]:
-    """The patterns around [start, end): left word, right word, and both."""
-    left = _WORD_BEFORE.search(text, max(0, start - 200), start)
-    right = _WORD_AFTER.match(text, end, end + 200)
-    a = left[1][-WORD:].lower() if left else "^"
-    b = right[1][:WORD].lower() if right else "$"
+def _known(text: str, most: int) -> str:
+    return text if len(text) <= most else f"\x1f{hashlib.md5(text.encode('utf-8', 'surrogatepass')).hexdigest()}"
+
+
+def _bounds(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """Sorted starts and sorted ends: between these, contexts end."""
+    return sorted(s for s, _, _ in spans), sorted(e for _, e, _ in spans)
+
+
+def _context(text: str, start: int, end: int, bounds: tuple[list[int], list[int]] = ((), ())) -> list[str]:
+    """The patterns around [start, end): left word, right word, and both. A fixed span that is glued to the word ends it."""
+    starts, ends = bounds
+    z = start
+    while z and text[z - 1] in _SEPARATORS:
+        z -= 1
+    a = z
+    k = bisect_right(ends, start)
+    least = ends[k - 1] if k and z == start and ends[k - 1] < start else 0
+    while a > least and text[a - 1] not in _SEPARATORS:
+        a -= 1
+    left = _known(text[a:z].lower(), WORD) if a < z else "^"
+    a = end
+    while a < len(text) and text[a] in _SEPARATORS:
+        a += 1
+    z = a
+    k = bisect_left(starts, end)
+    most = starts[k] if k < len(starts) and a == end and starts[k] > end else len(text)
+    while z < most and text[z] not in _SEPARATORS:
+        z += 1
+    right = _known(text[a:z].lower(), WORD) if a < z else "$"
     before = text[start - 1 : start] in ("", " ", "\n", "\t")
     after = text[end : end + 1] in ("", " ", "\n", "\t")
-    a, b = a + (" " if before else ""), (" " if after else "") + b
-    return [f"{a}\x1e_", f"_\x1e{b}", f"{a}\x1e_\x1e{b}"]
+    left, right = left + (" " if before else ""), (" " if after else "") + right
+    return [f"{left}\x1e_", f"_\x1e{right}", f"{left}\x1e_\x1e{right}"]
+
+
+class _Taken:
+    """Disjoint stretches that the spans cover."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for s, e in sorted(x[:2] for x in spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s), self.ends.append(e)
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.starts) and self.starts[k] < end
+
+
+def candidate_runs(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Maximal runs of several words of digits that look like a kind and overlap no fixed span.
+
+    A plus sign starts a run of its own, and so does a bracket but after a prefix of up to three digits.
+    """
+    out, used = [], _Taken(taken)
+
+    def close(start: int, end: int) -> None:
+        open_ = "(" in text[start:end]
+        while end > start and not ("0" <= text[end - 1] <= "9" or text[end - 1] == ")" and open_):
+            end -= 1
+        if text[start] == "(" and text.find(")", start, end) == end - 1:  # brackets around all of it
+            start, end = start + 1, end - 1
+        if text.count("(", start, end) > text.count(")", start, end) and text[start] == "(":
+            start += 1
+        while start < end and text[start] not in "0123456789(+":
+            start += 1
+        if " " in text[start:end] and shape(text[start:end]):
+            out.append((start, end))
+
+    for m in _RUN.finditer(text):
+        words, at = [], m.start()
+        for w in m[0].split(" "):
+            words.append((at, at + len(w)))
+            at += len(w) + 1
+        if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in "@/_%"):
+            words = words[1:]  # the end of a longer word
+        if m.end() < len(text) and (text[m.end()].isalnum() or text[m.end()] in "@/_%"):
+            words = words[:-1]
+        start, end, digits = -1, -1, 0
+        for a, z in words:
+            alone = used.meets(a, z) or _DOTTED.fullmatch(text[a:z].strip("().+-")) is not None
+            if start >= 0 and (alone or text[a] == "+" or text[a] == "(" and (digits > 3 or "(" in text[start:end])):
+                close(start, end)
+                start = -1
+            if not alone:
+                start, digits = (a, 0) if start < 0 else (start, digits)
+                digits, end = digits + sum("0" <= c <= "9" for c in text[a:z]), z
+        if start >= 0:
+            close(start, end)
+    return out
 
 
 def candidate_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     """Identifier-like words, without edge punctuation, that overlap no fixed span."""
-    out, k, done = [], 0, 0
-    ordered = sorted((s, e) for s, e, _ in taken)
+    out, done, used = [], 0, _Taken(taken)
     for m in _SIGN.finditer(text):
         if m.start() < done:
             continue
@@ -114,16 +198,16 @@ def candidate_spans(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[
             continue
         start += word.index(core)
         end = start + len(core)
-        while k < len(ordered) and ordered[k][1] <= start:
-            k += 1
-        if not any(s < end and start < e for s, e in ordered[k : k + 8]):
+        if not used.meets(start, end):
             out.append((start, end))
     return out
 
 
 def shape(word: str) -> str:
-    """The first kind that the word looks like, or ''."""
-    return next((k for k, p in SHAPES.items() if len(word) <= 100 and p.fullmatch(word)), "")
+    """The first kind that the word looks like, or ''; of words with blanks between them, that of their digits and brackets."""
+    if " " in word:
+        word = re.sub(r"[ .-]", "", word)
+    return next((k for k, p in SHAPES.items() if p.fullmatch(word)), "")
 
 
 def _mentions(batches):
@@ -134,13 +218,17 @@ def _mentions(batches):
         for i in np.flatnonzero(_has_signs(texts)):
             text = texts[int(i)].as_py()
             base = base_spans(text)
+            bounds, runs = _bounds(base), candidate_runs(text, base)
+            inside = _Taken(runs)
             for start, end, kind in base:
-                for p in _context(text, start, end):
-                    kinds.append(kind), shapes.append(kind), values.append(text[start:end][:200]), patterns.append(p)
-            for start, end in candidate_spans(text, base):
+                for p in _context(text, start, end, bounds):
+                    kinds.append(kind), shapes.append(kind), values.append(_known(text[start:end], VALUE)), patterns.append(p)
+            for start, end in runs + candidate_spans(text, base):
                 like = shape(text[start:end])
-                for p in _context(text, start, end):
-                    kinds.append(None), shapes.append(like), values.append(text[start:end][:200]), patterns.append(p)
+                if not like and inside.meets(start, end):
+                    continue  # a part of a run speaks against nothing
+                for p in _context(text, start, end, bounds):
+                    kinds.append(None), shapes.append(like), values.append(_known(text[start:end], VALUE)), patterns.append(p)
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (kinds, shapes, values, patterns)], ["kind", "shape", "value", "pattern"])
 
 
@@ -166,12 +254,20 @@ def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
 
 
 def _learned(text: str, base: list[tuple[int, int, str]], patterns: dict[str, str]) -> list[tuple[int, int, str]]:
-    """Candidates that look like a kind and stand in one of its patterns."""
-    out = []
-    for start, end in candidate_spans(text, base):
-        like = shape(text[start:end])
-        if like and any(patterns.get(p) == like for p in _context(text, start, end)):
-            out.append((start, end, like))
+    """Candidates that look like a kind and stand in one of its patterns; words within such a run are part of it."""
+    if not patterns:
+        return []
+    out, bounds = [], _bounds(base)
+
+    def add(spans):
+        for start, end in spans:
+            like = shape(text[start:end])
+            if like and any(patterns.get(p) == like for p in _context(text, start, end, bounds)):
+                out.append((start, end, like))
+
+    add(candidate_runs(text, base))
+    runs = _Taken(out)
+    add(x for x in candidate_spans(text, base) if not runs.meets(*x))
     return out
 
 
