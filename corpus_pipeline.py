@@ -42,7 +42,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts as tokens, packed into sequences."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:

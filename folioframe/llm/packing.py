@@ -31,22 +31,29 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def byte_bpe(path: str):
+@lru_cache(maxsize=4)
+def byte_bpe(path: str, added_tokens: bool = False):
     """An encoder (text -> ids) for a byte-level BPE file of the tokenizers library.
 
     The vocabulary's ids are its merge ranks, so tiktoken gives the same ids as the
-    library does, several times faster. Strings of special tokens in a text are ordinary text.
+    library does, several times faster. Strings of the file's added tokens in a text are those tokens with
+    ``added_tokens``, as the library has it by default, and else ordinary text (its ``encode_special_tokens``).
     """
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
-    special = {t["content"] for t in model.get("added_tokens", [])}
+    special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
     byte_of = _byte_of()
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    if not (added_tokens and special):
+        return encoding.encode_ordinary
+    if any(t.get(k) for t in model["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that depend on what is around them")
+    allowed = set(special)
+    return lambda text: encoding.encode(text, allowed_special=allowed, disallowed_special=())
 
 
 def document_cost(tokens: np.ndarray | int, capacity: int):
@@ -96,9 +103,9 @@ def pack(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return np.array(out, dtype=np.int64).reshape(-1, 5)
 
 
-def _pack_batches(tokenizer: str, end_id: int, capacity: int):
+def _pack_batches(tokenizer: str, end_id: int, capacity: int, added_tokens: bool):
     def work(batches):
-        encode = byte_bpe(tokenizer)
+        encode = byte_bpe(tokenizer, added_tokens)
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -131,11 +138,12 @@ def _pack_batches(tokenizer: str, end_id: int, capacity: int):
     return work
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
     """Pieces of documents in sequences of at most ``capacity`` tokens.
 
     Returns (``id_col``, start, length, ids, doc_tokens, sequence_id, offset), one row for each
     piece; ``ids`` are little-endian unsigned 32-bit token ids. ``end_id`` ends every document.
+    With ``added_tokens`` strings of the tokenizer's added tokens in a text become those tokens.
     Sequences are full or have a power-of-two length, so none needs padding.
 
     * null text is empty text: the end id alone; very long texts give many full pieces;
@@ -149,5 +157,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         raise ValueError("capacity must be a power of two")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = rows.mapInArrow(_pack_batches(tokenizer, end_id, capacity), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    out = rows.mapInArrow(_pack_batches(tokenizer, end_id, capacity, added_tokens), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)
