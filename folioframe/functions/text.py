@@ -119,15 +119,16 @@ def repair(text: Column, styles: Mapping[str, str] | None = None, tags: tuple[st
 
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratio of equal words of two texts without tags, up to 5000 words each; null if either is."""
+    """Ratio of equal words of two whole texts without tags; null if either is."""
 
     def words(x: str) -> list[str]:
-        return re.sub(r"<[^>]*>", " ", x).split()[:5000]
+        return re.sub(r"<[^>]*>", " ", x).split()
 
     def ratio(x, y):
         if x is None or y is None:
             return None
-        return difflib.SequenceMatcher(None, words(x), words(y), autojunk=False).ratio()
+        x, y = words(x), words(y)
+        return 1.0 if x == y else difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()
 
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
