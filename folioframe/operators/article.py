@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from folioframe.functions import pattern_tables as T
 from folioframe.functions.lookups import ARTICLE_TYPES, CONTRIB_TYPES
 from folioframe.operators import citations
 from folioframe.operators.body import ERROR, STYLES
@@ -231,12 +232,9 @@ def styles(xml: Node, d: Doc) -> None:
 
 
 def symbol_font(xml: Node, d: Doc) -> None:
-    """Letters in the symbol font as the Greek letters they show."""
-    # Latin letters and the Greek ones in their places of the symbol font.
-    latin, greek = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "αβχδεφγηιϕκλμνοπθρστυϖωξψζΑΒΧΔΕΦΓΗΙϑΚΛΜΝΟΠΘΡΣΤΥςΩΞΨΖ"
-    table = str.maketrans(latin, greek)
+    """Characters in the symbol font as the glyphs they show."""
     for n in xml.all("font-face-symbol"):
-        n.text = n.text.translate(table)
+        n.text = n.text.translate(T.SYMBOL_FONT)
         n.unwrap()
 
 
