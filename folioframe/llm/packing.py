@@ -32,12 +32,12 @@ def _byte_of() -> dict[str, int]:
 
 
 @lru_cache(maxsize=4)
-def byte_bpe(path: str, added_tokens: bool = False):
+def byte_bpe(path: str, added_tokens: bool = True):
     """An encoder (text -> ids) for a byte-level BPE file of the tokenizers library.
 
     The vocabulary's ids are its merge ranks, so tiktoken gives the same ids as the
-    library does, several times faster. Strings of the file's added tokens in a text are those tokens with
-    ``added_tokens``, as the library has it by default, and else ordinary text (its ``encode_special_tokens``).
+    library does, several times faster. Strings of the file's added tokens in a text are those tokens, as in
+    the library; without ``added_tokens`` they are ordinary text (its ``encode_special_tokens``).
     """
     import public_tokenizers
     import tiktoken
@@ -138,12 +138,12 @@ def _pack_batches(tokenizer: str, end_id: int, capacity: int, added_tokens: bool
     return work
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0, added_tokens: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 0, added_tokens: bool = True) -> DataFrame:
     """Pieces of documents in sequences of at most ``capacity`` tokens.
 
     Returns (``id_col``, start, length, ids, doc_tokens, sequence_id, offset), one row for each
     piece; ``ids`` are little-endian unsigned 32-bit token ids. ``end_id`` ends every document.
-    With ``added_tokens`` strings of the tokenizer's added tokens in a text become those tokens.
+    Strings of the tokenizer's added tokens in a text become those tokens, unless ``added_tokens`` is false.
     Sequences are full or have a power-of-two length, so none needs padding.
 
     * null text is empty text: the end id alone; very long texts give many full pieces;

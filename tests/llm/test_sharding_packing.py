@@ -13,7 +13,6 @@ from helpers import difficult, table, with_clashes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(PATH)
-LIBRARY.encode_special_tokens = True
 
 
 def test_shards_same_as_brute_force(spark):
