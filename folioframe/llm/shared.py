@@ -1,4 +1,4 @@
-"""What several operators need of Spark: shared tables, skew-safe lookups, connected components."""
+"""What several operators need of Spark: shared tables and skew-safe lookups."""
 
 from __future__ import annotations
 
@@ -14,9 +14,11 @@ HEAVY_SHARE = 1 / 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where unset (tests) one of our own."""
+    """The folder that all executors share: spark.checkpoint.dir, or where unset one of our own if there is but one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="folioframe-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -39,51 +41,27 @@ def dropped(spark: SparkSession, *frames: DataFrame) -> None:
                 where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def heavy_keys(facts: DataFrame, key: str) -> list:
+    """The keys with more than HEAVY_SHARE of the rows, at most 1 / HEAVY_SHARE of them."""
+    n = facts.count()
+    heavy = facts.groupBy(key).count().filter(F.col("count") > max(1000, int(n * HEAVY_SHARE))).select(key)
+    return [r[0] for r in heavy.limit(int(1 / HEAVY_SHARE) + 1).collect()]
+
+
+def lookup(facts: DataFrame, dim: DataFrame, key: str, how: str = "inner", on: list[str] | None = None, heavy: list | None = None) -> DataFrame:
     """facts joined to dim, which has each key once; no task gets all rows of a heavy key.
 
     Keys with more than HEAVY_SHARE of the facts are at most 1 / HEAVY_SHARE, so their
     part of dim may be broadcast whatever the size of the input; the rest meets in a shuffle.
+    ``on`` names the columns that join where they are more than ``key``, by which weight is judged (dim has
+    few rows then for a value of ``key``); ``heavy`` are heavy keys that are already known.
     """
-    n = facts.count()
-    heavy = facts.groupBy(key).count().filter(F.col("count") > max(1000, int(n * HEAVY_SHARE))).select(key)
-    keys = [r[0] for r in heavy.limit(int(1 / HEAVY_SHARE) + 1).collect()]
+    keys, on = heavy_keys(facts, key) if heavy is None else heavy, on or [key]
     if not keys:
-        return facts.join(dim, key, how)
+        return facts.join(dim, on, how)
     is_heavy = F.coalesce(F.col(key).isin(keys), F.lit(False))
     return (
         facts.filter(is_heavy)
-        .join(F.broadcast(dim.filter(is_heavy)), key, how)
-        .unionByName(facts.filter(~is_heavy).join(dim.filter(~is_heavy), key, how))
+        .join(F.broadcast(dim.filter(is_heavy)), on, how)
+        .unionByName(facts.filter(~is_heavy).join(dim.filter(~is_heavy), on, how))
     )
-
-
-def _digest(edges: DataFrame) -> tuple:
-    """Equal for equal sets of edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of the edges (u, v): a row (id, component) for each node, component the smallest id.
-
-    Alternating large-star and small-star steps: each replaces a node's edges by edges to
-    its smallest neighbour, so the graph becomes a forest of stars after a number of rounds
-    that grows with the logarithm of the diameter. A step is a minimum for each node (combined before
-    the shuffle) and a skew-safe lookup; no task gets the neighbours of a node together.
-    """
-    spark = edges.sparkSession
-    now = written(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = lookup(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.filter("u <> v").distinct())
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = lookup(large, small_least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        after = written(moved.select("e.*").filter("u <> v").distinct())
-        same = _digest(after) == _digest(now)
-        dropped(spark, now, large)
-        now = after
-        if same:
-            break
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
