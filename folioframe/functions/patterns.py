@@ -48,20 +48,38 @@ class Table:
         return Table(out, self.anchored)
 
 
-def label_table(words: Mapping[str, str] = T.LABEL_WORDS, extra: Mapping[str, list[str]] = T.LABEL_PATTERNS) -> Table:
+def _spaced(pattern: str) -> str:
+    return pattern.replace(" ", r"\s+")
+
+
+def _any(patterns: Sequence[str]) -> str:
+    return "|".join(map(_spaced, patterns))
+
+
+def label_table(words: Mapping[str, Sequence[str]] = T.LABEL_WORDS, extra: Mapping[str, Sequence[str]] = T.LABEL_PATTERNS) -> Table:
     """A word with an optional number (of an appendix: a letter or digit) is a label; other patterns come after a type's words."""
     rows = []
     for kind, listed in words.items():
         end = r"(?:\s*[A-Z\d])?$" if kind == "app" else r"(?:\s*\d+)?$"
         if listed:
-            rows.append((f"(?:{'|'.join(w.replace('_', r'\s+') for w in listed.split())}){end}", kind))
+            rows.append((f"(?:{_any(listed)}){end}", kind))
         rows += [(p, kind) for p in extra.get(kind, [])]
     return Table(rows).merged()
 
 
-def prefix_table(patterns: Mapping[str, str], anchored: bool = True) -> Table:
-    """Beginnings by type; blanks stand for any white space."""
-    return Table([(f"(?:{p.replace(' ', r'\s+')})", kind) for kind, p in patterns.items()], anchored)
+def prefix_table(patterns: Mapping[str, Sequence[str]], anchored: bool = True) -> Table:
+    """Beginnings by type."""
+    return Table([(f"(?:{_any(listed)})", kind) for kind, listed in patterns.items()], anchored)
+
+
+def footnote_table(
+    words: Mapping[str, Sequence[str]] = T.FOOTNOTE_PATTERNS,
+    pairs: Mapping[str, Sequence[tuple[str, str]]] = T.FOOTNOTE_PAIRS,
+    done_by: Mapping[str, Sequence[tuple[str, str]]] = T.FOOTNOTE_DONE_BY,
+) -> Table:
+    """Beginnings, beginnings with something later on, and participles with an agent, by type."""
+    listed = {kind: [*plain, *(f"{a}.*{z}" for a, z in pairs.get(kind, ())), *(f"{w} {T.AGENTS[lang]}" for lang, w in done_by.get(kind, ()))] for kind, plain in words.items()}
+    return prefix_table(listed)
 
 
 LABELS = label_table()
@@ -69,7 +87,7 @@ IDS = Table(T.ID_PATTERNS).merged()
 SECTIONS = prefix_table(T.SECTION_PATTERNS)
 SECTION_PARTS = prefix_table(T.SECTION_PATTERNS, anchored=False)
 COMBINED = Table(T.COMBINED_SECTIONS, anchored=False)
-FOOTNOTES = prefix_table(T.FOOTNOTE_PATTERNS)
+FOOTNOTES = footnote_table()
 PARENTS = Table(T.TITLE_PARENTS).merged()
 
 _SECTION_NUMBERS = [
@@ -140,7 +158,7 @@ def type_from_id(rid: Column, table: Table = IDS) -> Column:
 
 def type_from_label(text: Column, table: Table = LABELS) -> Column:
     """(ref_type, element, prefix, number) that a label tells."""
-    prefix = F.create_map(*[F.lit(x) for p in T.ID_PREFIXES.items() for x in p])
+    prefix = F.create_map(*[F.lit(x) for prefix, kind in T.ID_PREFIXES.items() for x in (kind, prefix)])
 
     def told(x: Column) -> Column:
         kind = x["kind"]
@@ -263,48 +281,54 @@ def footnote_id(number: Column) -> Column:
 # ---- titles ------------------------------------------------------------------------------------
 
 
+# Element, confidence and explanation of a title, the first row that holds. A row holds where all the facts
+# named first are true and all named second false: fn, sec (a type of footnote or section matches), worded (it begins as sections
+# do), back (it stands in the back matter), symbol (it begins with a footnote symbol), dotted (its number has a dot).
+TITLE_DECISIONS = [
+    ("sec worded", "", "sec", "high", "section"),
+    ("fn", "sec", "fn", "high", "footnote"),
+    ("sec", "fn", "sec", "high", "section"),
+    ("fn sec back", "", "fn", "medium", "footnote (in back)"),
+    ("fn sec symbol", "", "fn", "high", "footnote (symbol)"),
+    ("fn sec dotted", "", "sec", "high", "section (numbered)"),
+    ("fn sec", "", "sec", "low", "ambiguous (defaulting to section)"),
+]
+# Titles of one element whatever else they match, in this order.
+TITLE_ELEMENTS = [(_any(T.REFERENCES), "ref-list"), (_any(T.ACKNOWLEDGEMENT), "ack")]
+_SYMBOL = "[*†‡§¶#]"
+
+
 def element_type(title: Column, context: Column | str | None = None) -> Column:
     """What a title heads: (element_type, type_attribute, confidence, detected_as, suggested_id, number)."""
     context = F.lit(context).cast("string") if context is None or isinstance(context, str) else context
+    names = ("element_type", "type_attribute", "confidence", "detected_as", "suggested_id", "number")
 
-    def answer(element, attribute, confidence, label, suggested, number) -> Column:
-        text = lambda v: v if isinstance(v, Column) else F.lit(v).cast("string")
-        return F.struct(
-            text(element).alias("element_type"), text(attribute).alias("type_attribute"), text(confidence).alias("confidence"), text(label).alias("detected_as"), text(suggested).alias("suggested_id"), text(number).alias("number")
-        )
+    def answer(*values) -> Column:
+        return F.struct(*[(v if isinstance(v, Column) else F.lit(v).cast("string")).alias(n) for n, v in zip(names, values, strict=True)])
 
     def told(x: Column) -> Column:
-        t, fn, sec, number = x["title"], x["fn"], x["sec"], x["number"]
-        both = fn.isNotNull() & sec.isNotNull()
-        unless_fn = t.rlike(f"(?iU)^(?:{T.NOT_FOOTNOTE})") & sec.isNotNull()
-        as_fn = ~unless_fn & fn.isNotNull() & (sec.isNull() | (context.eqNullSafe(F.lit("back"))) | t.rlike("^[*†‡§¶#]"))
-        kind = F.when(as_fn, fn).otherwise(sec)
-        label = (
-            F.when(unless_fn, "section")
-            .when(~both & as_fn, "footnote")
-            .when(~both, "section")
-            .when(context.eqNullSafe(F.lit("back")), "footnote (in back)")
-            .when(as_fn, "footnote (symbol)")
-            .when(number.contains("."), "section (numbered)")
-            .otherwise("ambiguous (defaulting to section)")
-        )
-        confidence = F.when(unless_fn | ~both, "high").when(context.eqNullSafe(F.lit("back")), "medium").when(as_fn | number.contains("."), "high").otherwise("low")
-        return (
-            F.when(t.isNull() | (t == ""), answer(None, None, None, None, None, None))
-            .when(t.rlike(f"(?iU){T.REFERENCES}"), answer("ref-list", None, None, None, None, None))
-            .when(t.rlike(f"(?iU){T.ACKNOWLEDGEMENT}"), answer("ack", None, None, None, None, None))
-            .when(kind.isNull(), answer(None, None, "none", "unidentified", None, None))
-            .otherwise(
-                answer(
-                    F.when(as_fn, "fn").otherwise("sec"),
-                    kind,
-                    confidence,
-                    F.concat(label, F.lit(": "), kind),
-                    F.when(as_fn, footnote_id(footnote_number(t))).otherwise(section_id(t)),
-                    F.when(as_fn, footnote_number(t)).otherwise(number),
-                )
-            )
-        )
+        t = x["title"]
+        facts = {
+            "fn": x["fn"].isNotNull(),
+            "sec": x["sec"].isNotNull(),
+            "worded": t.rlike(f"(?iU)^(?:{T.NOT_FOOTNOTE})"),
+            "back": context.eqNullSafe(F.lit("back")),
+            "symbol": t.rlike("^" + _SYMBOL),
+            "dotted": F.coalesce(x["number"].contains("."), F.lit(False)),
+        }
+        note = footnote_number(t)
+        out = F.when(t.isNull() | (t == ""), answer(*[None] * 6))
+        for pattern, element in TITLE_ELEMENTS:
+            out = out.when(t.rlike(f"(?iU){pattern}"), answer(element, *[None] * 5))
+        for true, false, element, confidence, label in TITLE_DECISIONS:
+            holds = F.lit(True)
+            for name in true.split():
+                holds = holds & facts[name]
+            for name in false.split():
+                holds = holds & ~facts[name]
+            ids = (footnote_id(note), note) if element == "fn" else (section_id(t), x["number"])
+            out = out.when(holds, answer(element, x[element], confidence, F.concat(F.lit(label + ": "), x[element]), *ids))
+        return out.otherwise(answer(None, None, "none", "unidentified", None, None))
 
     facts = lambda t: F.struct(t.alias("title"), footnote_type(t).alias("fn"), section_type(_without_first(t, _SECTION_NUMBERS)).alias("sec"), section_number(t).alias("number"))
     return let(F.trim(title), lambda t: let(facts(t), told))
@@ -315,24 +339,19 @@ def py_element_type(title: str, context: str | None = None) -> tuple[str | None,
     title = title.strip()
     if not title:
         return None, None
-    if re.search(T.REFERENCES, title, re.IGNORECASE):
-        return "ref-list", None
-    if re.search(T.ACKNOWLEDGEMENT, title, re.IGNORECASE):
-        return "ack", None
-    sec = py_section_type(_py_without_first(title, _SECTION_NUMBERS))
-    if sec and re.match(T.NOT_FOOTNOTE, title, re.IGNORECASE):
-        return "sec", sec
-    fn = py_footnote_type(title)
-    if fn and not sec:
-        return "fn", fn
-    if sec and not fn:
-        return "sec", sec
-    if not sec:
-        return None, None
-    number = _py_first(title, _SECTION_NUMBERS)
-    if context == "back" or re.match("[*†‡§¶#]", title) and not (number and "." in number):
-        return "fn", fn
-    return "sec", sec
+    for pattern, element in TITLE_ELEMENTS:
+        if re.search(pattern, title, re.IGNORECASE):
+            return element, None
+    kinds = {"fn": py_footnote_type(title), "sec": py_section_type(_py_without_first(title, _SECTION_NUMBERS))}
+    facts = {name for name, kind in kinds.items() if kind}
+    facts |= {"worded"} if re.match(T.NOT_FOOTNOTE, title, re.IGNORECASE) else set()
+    facts |= {"back"} if context == "back" else set()
+    facts |= {"symbol"} if re.match(_SYMBOL, title) else set()
+    facts |= {"dotted"} if "." in (_py_first(title, _SECTION_NUMBERS) or "") else set()
+    for true, false, element, *_ in TITLE_DECISIONS:
+        if facts.issuperset(true.split()) and facts.isdisjoint(false.split()):
+            return element, kinds[element]
+    return None, None
 
 
 def title_parent(title: Column, table: Table = PARENTS) -> Column:
@@ -347,10 +366,11 @@ def py_title_parent(title: str) -> str | None:
 
 def asset_type(path: Column) -> Column:
     """(asset_type, mimetype, mime_subtype) by lower-case extension."""
-    table = F.create_map(*[F.lit(x) for p in T.ASSET_TYPES.items() for x in p])
-    found = F.coalesce(F.try_element_at(table, F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1))), F.lit("other application octet-stream"))
-    parts = F.split(found, " ")
-    return F.struct(parts[0].alias("asset_type"), parts[1].alias("mimetype"), parts[2].alias("mime_subtype"))
+    names = ("asset_type", "mimetype", "mime_subtype")
+    row = lambda values: F.struct(*[F.lit(v).alias(n) for n, v in zip(names, values, strict=True)])
+    table = F.create_map(*[x for extension, values in T.ASSET_TYPES.items() for x in (F.lit(extension), row(values))])
+    found = F.try_element_at(table, F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1)))
+    return F.coalesce(found, row(("other", "application", "octet-stream")))
 
 
 # ---- fuzzy section types -----------------------------------------------------------------------

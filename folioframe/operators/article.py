@@ -231,10 +231,13 @@ def styles(xml: Node, d: Doc) -> None:
             n.attrs.pop("name")
 
 
+_SYMBOLS = str.maketrans(T.SYMBOL_FONT)
+
+
 def symbol_font(xml: Node, d: Doc) -> None:
     """Characters in the symbol font as the glyphs they show."""
     for n in xml.all("font-face-symbol"):
-        n.text = n.text.translate(T.SYMBOL_FONT)
+        n.text = n.text.translate(_SYMBOLS)
         n.unwrap()
 
 

@@ -373,7 +373,7 @@ def links(xml: Node, ctx: Context) -> None:
             path, _, anchor = href.partition("#")
             name = path.rsplit("/", 1)[-1]
             end = re.search(r"\.[^.]*$", name)
-            asset, mime, sub = T.ASSET_TYPES.get((end[0] if end else "").lower(), "other application octet-stream").split()
+            asset, mime, sub = T.ASSET_TYPES.get((end[0] if end else "").lower(), ("other", "application", "octet-stream"))
             a.tag = "xref"
             a.attrs = {"rid": re.sub(r"\.[^.]*$", "", name), "path": path, "asset_type": asset, "mimetype": mime, "mime-subtype": sub}
             if asset == "html" and anchor:
