@@ -10,8 +10,9 @@ each dimension. A task takes a query block and goes through the candidate blocks
   reaches the query's threshold; survivors are compacted;
 * the threshold is the k-th best full score so far, or the k-th best lower bound.
 
-Scores are sums of integers below 2**53, so they are exact in doubles, and bounds are widened
-by one so that rounding of the masses can't lose a candidate.
+Where the masses of query and candidate are below 2**26, scores are sums of integers below 2**53, so they are exact in doubles, and bounds
+are widened by one so that rounding of the masses can't lose a candidate. Pairs with a larger vector are scored in full, in
+parts of 21 bits that add up to whole numbers of any size.
 """
 
 from __future__ import annotations
@@ -20,11 +21,23 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors of one block, and queries of one block.
-CANDIDATES, QUERIES, DIMENSIONS = 4096, 512, 16
+#: Bytes of one block of candidates (as long integers) and of the stripe of them that a task holds.
+BLOCK_BYTES, STRIPE_BYTES = 4 << 20, 32 << 20
+#: Candidates of a block, and queries of a block, at most; dimensions taken at once.
+CANDIDATES, QUERIES, DIMENSIONS = 4096, 1024, 16
+#: Vectors of a smaller mass have exact products in doubles.
+EXACT_MASS = float(1 << 26)
+LONGEST = (1 << 63) - 1
+
+
+def _packed(matrix: np.ndarray) -> tuple[str, bytes]:
+    """The matrix in the smallest type that holds it, and the type's name."""
+    low, high = (int(matrix.min()), int(matrix.max())) if matrix.size else (0, 0)
+    kind = next(t for t in ("<i1", "<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return kind, np.ascontiguousarray(matrix, dtype=kind).tobytes()
 
 
 def _blocks(name: str):
@@ -42,13 +55,14 @@ def _blocks(name: str):
         for size in np.unique(sizes):
             at = order[sizes[order] == size]
             matrix = flat[starts[at][:, None] + np.arange(size)[None, :]].astype(np.int64)
-            out.append((key[0].as_py(), int(size), ids[at].tobytes(), np.ascontiguousarray(matrix.T).tobytes()))
+            out.append((key[0].as_py(), int(size), ids[at].tobytes(), *_packed(matrix.T)))
         return pa.table(
             {
                 name: pa.array([r[0] for r in out], pa.int64()),
                 "size": pa.array([r[1] for r in out], pa.int32()),
                 "ids": pa.array([r[2] for r in out], pa.binary()),
-                "columns": pa.array([r[3] for r in out], pa.binary()),
+                "kind": pa.array([r[3] for r in out], pa.string()),
+                "columns": pa.array([r[4] for r in out], pa.binary()),
             }
         )
 
@@ -94,34 +108,70 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     return found
 
 
+def whole_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of the integer vector q with the columns of c, as whole numbers that are cut off at the largest long."""
+    mask = (1 << 21) - 1
+    out = np.zeros(c.shape[1], dtype=object)
+    for at in range(0, len(q), 512):  # 512 products of 21 bits each are exact in doubles
+        parts = [[(x[at : at + 512] >> s) & mask if s < 42 else x[at : at + 512] >> s for s in (0, 21, 42)] for x in (q, c)]
+        for i, a in enumerate(parts[0]):
+            for j, b in enumerate(parts[1]):
+                out += (a.astype(np.float64) @ b.astype(np.float64)).astype(np.int64).astype(object) << 21 * (i + j)
+    return np.minimum(np.maximum(out, -LONGEST), LONGEST)
+
+
 def _best(ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -score))[:k]
+    if score.dtype == object:
+        order = np.array(sorted(range(len(ids)), key=lambda i: (-score[i], ids[i]))[:k], dtype=np.int64)
+    else:
+        order = np.lexsort((ids, -score))[:k]
     return ids[order], score[order]
 
 
+def _merged(one: tuple, two: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of both; whole numbers as soon as one of them has some."""
+    a, b = one[1], two[1]
+    if a.dtype != b.dtype:
+        a, b = (x if x.dtype == object else np.array([int(v) for v in x], dtype=object) for x in (a, b))
+    return _best(np.concatenate([one[0], two[0]]), np.concatenate([a, b]), k)
+
+
+def _read(rows: pa.Table):
+    for size, ids, kind, columns in zip(*(rows.column(c).to_pylist() for c in ("size", "ids", "kind", "columns")), strict=True):
+        ids = np.frombuffer(ids, dtype=np.int64)
+        matrix = np.frombuffer(columns, dtype=kind).reshape(size, len(ids)).astype(np.int64)
+        yield ids, matrix, np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=0)) < EXACT_MASS
+
+
 def _search(k: int):
     def search(key, queries, candidates):
         """One query block against the candidate blocks of one stripe."""
         out = []
-        for q_size, q_raw, q_columns in zip(queries.column("size").to_pylist(), queries.column("ids").to_pylist(), queries.column("columns").to_pylist(), strict=True):
-            q_ids = np.frombuffer(q_raw, dtype=np.int64)
-            q = np.frombuffer(q_columns, dtype=np.int64).reshape(q_size, len(q_ids)).astype(np.float64)
+        for q_ids, q, q_fine in _read(queries):
             floor = np.full(len(q_ids), -np.inf)
             best = [(np.zeros(0, np.int64), np.zeros(0))] * len(q_ids)
-            for c_size, c_raw, c_columns in zip(candidates.column("size").to_pylist(), candidates.column("ids").to_pylist(), candidates.column("columns").to_pylist(), strict=True):
-                if c_size != q_size:
+            fine = np.flatnonzero(q_fine)
+            q_double = q[:, fine].astype(np.float64)
+            for c_ids, c, c_fine in _read(candidates):
+                if len(c) != len(q):
                     continue
-                c_ids = np.frombuffer(c_raw, dtype=np.int64)
-                c = np.frombuffer(c_columns, dtype=np.int64).reshape(c_size, len(c_ids)).astype(np.float64)
-                for i, (ids, score) in enumerate(search_block(q_ids, q, c_ids, c, k, floor)):
-                    best[i] = _best(np.concatenate([best[i][0], ids]), np.concatenate([best[i][1], score]), k)
+                fine_ids, rough_ids = c_ids[c_fine], c_ids[~c_fine]
+                own = floor[fine]
+                for i, found in zip(fine, search_block(q_ids[fine], q_double, fine_ids, c[:, c_fine].astype(np.float64), k, own), strict=True):
+                    best[i] = _merged(best[i], found, k)
+                for i in range(len(q_ids)):
+                    rough = slice(None) if not q_fine[i] else ~c_fine
+                    ids = c_ids if not q_fine[i] else rough_ids
+                    if len(ids):
+                        other = ids != q_ids[i]
+                        best[i] = _merged(best[i], (ids[other], whole_scores(q[:, i], c[:, rough][:, other])), k)
                     if len(best[i][1]) == k:
-                        floor[i] = max(floor[i], best[i][1][-1])
+                        floor[i] = max(floor[i], np.nextafter(float(best[i][1][-1]), -np.inf))
             out += [(q_ids[i], ids, score) for i, (ids, score) in enumerate(best)]
         ids = np.concatenate([x[1] for x in out]) if out else np.zeros(0, np.int64)
-        score = np.concatenate([x[2] for x in out]) if out else np.zeros(0)
+        score = [int(v) for x in out for v in x[2]]
         query = np.repeat(np.array([x[0] for x in out], dtype=np.int64), [len(x[1]) for x in out])
-        return pa.table({"query_id": pa.array(query), "vec_id": pa.array(ids), "score": pa.array(score.astype(np.int64))})
+        return pa.table({"query_id": pa.array(query), "vec_id": pa.array(ids), "score": pa.array(score, pa.int64())})
 
     return search
 
@@ -143,32 +193,31 @@ def top_k(
     * vectors of another length than the query's are no candidates for it; empty vectors score 0 with each other;
     * rows that repeat an id are each a candidate, but never for a query with that id; a repeated
       query gives its rows once;
+    * scores are exact whole numbers; those beyond 64 bits are cut off at the largest long (and rank so); a vector with a
+      component of 2**62 or more after scaling takes no part;
     * fewer than ``k`` candidates: all of them; other columns are ignored; an empty table gives an empty one.
 
-    Queries grow with the table, so they are not broadcast: both sides are cut into blocks of a fixed
-    size, and a grid of (query block, stripe of candidate blocks) is dealt over the executors.
+    Queries grow with the table, so they are not broadcast: both sides are cut into blocks of bounded
+    size, and a grid of (query block, stripe of candidate blocks) is dealt over the executors. A stripe has at most
+    about ``STRIPE_BYTES``, whatever the number of queries.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
     fine = F.col("x").isNotNull() & F.forall("x", lambda y: y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")))
-    v = v.filter(fine & F.col("id").isNotNull()).select("id", F.transform("x", lambda y: F.floor(y * scale).cast("long")).alias("v"))
-    n = v.count()
-    n_blocks = max(1, math.ceil(n / CANDIDATES))
-    n_queries = v.filter(queries).select("id").distinct().count()
+    scaled = F.transform("x", lambda y: F.floor(y * scale))
+    small = F.forall("x", lambda y: F.abs(y * scale) < float(1 << 62))
+    v = v.filter(F.col("id").isNotNull()).withColumn("v", F.when(fine, F.when(small, scaled.cast("array<long>")))).filter("v IS NOT NULL").select("id", "v")
+    n, components, n_queries = v.agg(F.count("*"), F.sum(F.size("v")), F.count_if(F.expr(queries))).first()
+    n_blocks = max(1, math.ceil(n / CANDIDATES), math.ceil(8 * (components or 0) / BLOCK_BYTES))
     q_blocks = max(1, math.ceil(n_queries / QUERIES))
-    stripes = max(1, min(n_blocks, math.ceil(96 / q_blocks)))
+    stripes = min(n_blocks, max(math.ceil(96 / q_blocks), math.ceil(8 * (components or 0) / STRIPE_BYTES)))
     # rows are dealt by a hash of everything, so that one very common id or vector spreads
     c = v.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)))
-    c = c.groupBy("block").applyInArrow(_blocks("block"), "block long, size int, ids binary, columns binary")
+    c = c.groupBy("block").applyInArrow(_blocks("block"), "block long, size int, ids binary, kind string, columns binary")
     q = v.filter(queries).dropDuplicates(["id"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q_blocks)))
-    q = q.groupBy("qb").applyInArrow(_blocks("qb"), "qb long, size int, ids binary, columns binary")
+    q = q.groupBy("qb").applyInArrow(_blocks("qb"), "qb long, size int, ids binary, kind string, columns binary")
     c = c.withColumn("stripe", F.pmod("block", F.lit(stripes))).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>")))
     q = q.withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)).cast("array<long>")))
     found = q.groupBy("qb", "stripe").cogroup(c.groupBy("qb", "stripe")).applyInArrow(_search(k), "query_id long, vec_id long, score long")
-    # k rows of each stripe for each query: a bounded list
-    best = F.slice(F.array_sort(F.collect_list(F.struct(F.negative("score").alias("s"), "vec_id"))), 1, k)
-    return (
-        found.groupBy("query_id")
-        .agg(best.alias("best"))
-        .select("query_id", F.posexplode("best").alias("p", "b"))
-        .select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), F.negative(F.col("b.s")).alias("score"))
-    )
+    # the k best of each stripe are cut to the k best of all before and after they move
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

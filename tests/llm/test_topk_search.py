@@ -47,3 +47,30 @@ def test_bounds_prune_without_loss():
         exact = q[:, i] @ c
         order = np.lexsort((np.arange(500), -exact))[:7]
         assert ids.tolist() == (order + 100).tolist() and score.tolist() == exact[order].tolist()
+
+
+def test_large_components_have_whole_scores(spark):
+    """Beyond doubles: products up to the largest long are exact, larger ones are cut off there."""
+    rng = np.random.default_rng(4)
+    data = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * 10.0 ** rng.integers(0, 6)], 0) for i in range(80)]
+    data += [(200, [float(2**30), 1.0] + [0.0] * 4, 0), (201, [float(2**30), -3.0] + [0.0] * 4, 0), (203, [1e15] * 6, 0), (240, [-1e15] * 6, 0), (205, [3e38] * 6, 0)]
+    top = (1 << 63) - 1
+    taken = [r for r in data if max(abs(64 * x) for x in r[1]) < 2**62]
+    wanted = []
+    for q, v, _ in taken:
+        if q % 20 == 0:
+            a = [math.floor(64 * x) for x in v]
+            scores = [(-max(-top, min(top, sum(x * math.floor(64 * y) for x, y in zip(a, w, strict=True)))), i) for i, w, _ in taken if i != q]
+            wanted += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:20], 1)]
+    got = top_k(spark.createDataFrame([(i, v, n) for i, v, n in data], "vec_id long, embedding array<double>, label int"))
+    assert sorted(map(tuple, got.collect())) == sorted(wanted)
+
+
+def test_many_blocks_and_stripes(spark, monkeypatch):
+    import folioframe.llm.topk_search as t
+
+    monkeypatch.setattr(t, "CANDIDATES", 16)
+    monkeypatch.setattr(t, "QUERIES", 4)
+    monkeypatch.setattr(t, "STRIPE_BYTES", 4_000)
+    data = rows()
+    assert sorted(map(tuple, top_k(spark.createDataFrame(data, SCHEMA)).collect())) == brute(data)
