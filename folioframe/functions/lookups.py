@@ -59,7 +59,7 @@ def with_country(df: DataFrame, countries: DataFrame, code: str, lang: str | Non
     """Adds ``country_name`` and ``country_code`` by a table (alpha_2_code, short_name_en, short_name_pt, short_name_es).
 
     The table may be looked up by alpha-2 code or by any short name; without a language, the first of the English,
-    Portuguese and Spanish names that there is. A world's countries are a few hundred rows: broadcast.
+    Portuguese and Spanish names that there is.
     """
     filled = lambda c: F.when(F.col(c) != "", F.col(c))
     name = filled(f"short_name_{lang}") if lang else F.coalesce(filled("short_name_en"), filled("short_name_pt"), filled("short_name_es"))
@@ -68,7 +68,7 @@ def with_country(df: DataFrame, countries: DataFrame, code: str, lang: str | Non
         name.alias("country_name"),
         F.col("alpha_2_code").alias("country_code"),
     ).filter("_key <> ''").dropDuplicates(["_key"])
-    return df.join(F.broadcast(keys), df[code] == keys["_key"], "left").drop("_key")
+    return df.join(keys, df[code] == keys["_key"], "left").drop("_key")
 
 
 def attribute_value(attribute: str, code: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, StringType
 
 # ---- HTML repair -------------------------------------------------------------------------------
 
-# Style tags without attributes and the named spans that stand for them.
+# Style tags without attributes and the styles of the spans that stand for them.
 STYLES = {
     "b": "bold",
     "i": "italic",
@@ -23,7 +23,7 @@ STYLES = {
     "sup": "sup",
     "sub": "sub",
 }
-#: Tags whose lines may have only one of the pair.
+# Tags whose lines may have only one of the pair.
 PAIRED_TAGS = ("p",)
 
 
@@ -51,9 +51,9 @@ def remove_office_conditionals(text: Column) -> Column:
 
 
 def avoid_mismatched_styles(text: Column, styles: Mapping[str, str] | None = None) -> Column:
-    """``<b>`` in either case becomes ``<span name="style_bold">``, ``</b>`` ``</span>``; tags with attributes stay."""
+    """``<b>`` in either case becomes ``<span style="bold">``, ``</b>`` ``</span>``; tags with attributes stay."""
     for tag, name in (styles or STYLES).items():
-        text = F.regexp_replace(text, f"<(?:{tag}|{tag.upper()})>", f'<span name="style_{name}">')
+        text = F.regexp_replace(text, f"<(?:{tag}|{tag.upper()})>", f'<span style="{name}">')
         text = F.regexp_replace(text, f"</(?:{tag}|{tag.upper()})>", "</span>")
     return text
 

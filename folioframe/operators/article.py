@@ -337,10 +337,12 @@ def repeated_translations(xml: Node, d: Doc) -> None:
 
 
 def article_language(xml: Node, d: Doc) -> None:
-    """Title and abstract that agree on a language decide the article's."""
+    """Title and abstract that agree on a language decide the article's; else a detector, if there is one, by the text of its front."""
     told = [n.get(LANG) for tag in ("article-title", "abstract") if (n := _front(xml).first(tag, where=lambda n: bool(n.get(LANG)))) is not None]
     if len(told) == 2 and told[0] == told[1]:
         xml.attrs[LANG] = told[0]
+    elif (detect := d.get("detector")) and (text := _front(xml).content().strip()) and (found := detect(text)):
+        xml.attrs[LANG] = found
 
 
 def counts(xml: Node, d: Doc) -> None:
@@ -431,8 +433,8 @@ def serialize(xml: Node, doctype: str = DOCTYPE) -> str:
 RESULT = StructType([StructField("xml", StringType()), StructField("errors", ArrayType(ERROR))])
 
 
-def article_xml(documents: Column) -> Column:
-    """(xml, errors) of documents given as JSON of their attributes."""
+def article_xml(documents: Column, detector: Callable[[str], str | None] | None = None) -> Column:
+    """(xml, errors) of documents given as JSON of their attributes; ``detector`` tells the language of a text."""
 
     @F.pandas_udf(RESULT)
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -442,7 +444,7 @@ def article_xml(documents: Column) -> Column:
                 if text is None:
                     rows.append((None, None))
                     continue
-                d = json.loads(text)
+                d = json.loads(text) | ({"detector": detector} if detector else {})
                 xml, errors = build(d)
                 rows.append((serialize(xml, (d.get("params") or {}).get("doctype", DOCTYPE)), errors))
             yield pd.DataFrame(rows, columns=["xml", "errors"])

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -333,23 +334,41 @@ def sources(xml: Node) -> None:
         n.attrs = {"xlink:href": n.attrs.get("src", ""), **({"id": n.attrs["id"]} if n.get("id") else {})}
 
 
+# Kinds of links, the first row that holds. A row names the kind, what is searched (the address, the text, or the address of
+# a link in a reference) and the pattern; where it has {acronym}, it holds only if the journal has one.
+LINK_KINDS = [
+    ("email", "href", r"mailto|@"),
+    ("email", "text", r"@"),
+    ("internal", "href", r"^#"),
+    ("asset", "href", r"(?is)^(?!http)(?=.*{acronym}).*/[^/]+\.\w{2,5}(#.*)?$"),
+    ("external", "cited", r"(?i)/{acronym}/"),
+    ("asset", "href", r"(?i)/{acronym}/"),
+    ("asset", "href", r"(?i)img/revistas/|\.\."),
+    ("external", "href", r":|www|^http"),
+    ("external", "href", r"^(?=[^/]*\.)(?=[^/]*[^./])"),
+]
+
+
+@lru_cache(maxsize=256)
+def _link_rules(acronym: str | None) -> list[tuple[str, str, str]]:
+    named = [(kind, where, p.replace("{acronym}", re.escape(acronym or ""))) for kind, where, p in LINK_KINDS]
+    return [new for new, old in zip(named, LINK_KINDS, strict=True) if acronym or new == old]
+
+
 def link_kind(href: str, text: str, acronym: str, in_ref: bool) -> str:
-    """email, internal, asset, external or other, in this order of tests."""
-    low = href.lower()
-    if "mailto" in href or "@" in href or "@" in text:
-        return "email"
-    if href.startswith("#"):
-        return "internal"
-    if acronym and acronym in low and not low.startswith("http") and re.search(r"/[^/]+\.\w{2,5}(#.*)?$", low):
-        return "asset"
-    if acronym and f"/{acronym}/" in low:
-        return "external" if in_ref else "asset"
-    if "img/revistas/" in low or ".." in href:
-        return "asset"
-    if ":" in href or "www" in href or href.startswith("http"):
-        return "external"
-    head = href.split("/")[0]
-    return "external" if "." in head and head.strip(".") else "other"
+    """email, internal, asset, external or other."""
+    searched = {"href": href, "text": text, "cited": href if in_ref else ""}
+    return next((kind for kind, where, p in _link_rules(acronym) if re.search(p, searched[where])), "other")
+
+
+def link_kind_of(href: Column, text: Column | None = None, acronym: str | None = None, in_ref: Column | None = None) -> Column:
+    """link_kind() of Columns."""
+    searched = {"href": href, "text": F.lit("") if text is None else text, "cited": F.lit("") if in_ref is None else F.when(in_ref, href).otherwise("")}
+    out = None
+    for kind, where, p in _link_rules(acronym):
+        hit = searched[where].rlike(p)
+        out = F.when(hit, kind) if out is None else out.when(hit, kind)
+    return out.otherwise("other")
 
 
 def links(xml: Node, ctx: Context) -> None:

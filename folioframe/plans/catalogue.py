@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioframe.functions import fields, lookups, patterns
+from folioframe.functions import pattern_tables as T
 from folioframe.functions import text as tx
 from folioframe.functions.columns import spread
+from folioframe.operators import body, entities
 from folioframe.sources import isis
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,10 +40,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from folioframe.plans import entity_queries  # noqa: F401  registers its own
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -77,15 +82,17 @@ def subfield_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 WITH l AS (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents WHERE text IS NOT NULL),
-k AS (SELECT *, sum(CASE WHEN n = 1 OR regexp_matches(line, '^[A-M]') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS field FROM l)
-SELECT doc_id, CAST(field AS BIGINT) AS field, count(*) AS n_lines, md5(string_agg(trim(line), ' ' ORDER BY n)) AS joined_md5 FROM k GROUP BY 1, 2
+k AS (SELECT *, sum(CASE WHEN n = 1 OR regexp_matches(line, '^[A-M]') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS field FROM l),
+j AS (SELECT doc_id, field, string_agg(trim(line), ' ' ORDER BY n) FILTER (trim(line) <> '' OR n = 1) AS joined FROM k GROUP BY 1, 2)
+SELECT doc_id, CAST(field AS BIGINT) AS field, md5(joined) AS joined_md5 FROM j
 """)
 def continuation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    """Documents as dumps: a line that begins with A to M starts a field, others continue it."""
+    lines = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     starts = (F.col("n") == 0) | F.col("line").rlike("^[A-M]")
-    lines = lines.withColumn("field", F.sum(starts.cast("long")).over(Window.partitionBy("doc_id").orderBy("n")))
-    joined = lines.groupBy("doc_id", "field").agg(F.count("*").alias("n_lines"), F.array_sort(F.collect_list(F.struct("n", "line"))).alias("p"))
-    return joined.select("doc_id", "field", "n_lines", F.md5(F.array_join(F.transform("p", lambda x: F.trim(x["line"])), " ")).alias("joined_md5"))
+    lines = lines.withColumn("line", F.concat(F.when(starts, "!v010!").otherwise(""), F.trim("line")))
+    joined = isis.join_continuations(isis.number_records(lines))
+    return joined.select(F.col("path").alias("doc_id"), "field", F.md5(isis.field_content(F.col("line"))).alias("joined_md5"))
 
 
 @query("""
@@ -178,52 +185,52 @@ def field_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- attributes of journals, issues and documents ----------------------------------------------
 
 
-@query("""
-SELECT n_nationkey, n_name, min(c_custkey) FILTER (c_mktsegment = 'BUILDING') AS first_building, min(c_custkey) FILTER (c_mktsegment = 'MACHINERY') AS first_machinery
-FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2
-""")
-def first_type_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _table(spark, sf_dir, "customer")
-    first = lambda kind: F.min(F.when(F.col("c_mktsegment") == kind, F.col("c_custkey")))
-    by = c.groupBy("c_nationkey").agg(first("BUILDING").alias("first_building"), first("MACHINERY").alias("first_machinery"))
-    n = _table(spark, sf_dir, "nation")
-    return n.join(by, n["n_nationkey"] == by["c_nationkey"], "left").select("n_nationkey", "n_name", "first_building", "first_machinery")
-
-
-@query("SELECT p_brand, count(*) AS n, string_agg(CAST(p_partkey AS VARCHAR), ', ' ORDER BY p_partkey) AS parts FROM part GROUP BY 1")
+@query("SELECT p_brand, p_type AS code, arg_max(p_name, p_partkey) AS en, arg_max(CAST(p_size AS VARCHAR), p_partkey) AS es FROM part GROUP BY 1, 2")
 def collect_by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _table(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("p_partkey")).alias("keys"))
-    return parts.select("p_brand", "n", F.array_join(F.transform("keys", lambda k: k.cast("string")), ", ").alias("parts"))
+    """Sections of issues (brands) by code (types) with their titles by language."""
+    parts = _table(spark, sf_dir, "part").groupBy("p_brand", "p_type").agg(F.max_by("p_name", "p_partkey").alias("en"), F.max_by(F.col("p_size").cast("string"), "p_partkey").alias("es"))
+    titles = F.explode(F.create_map(F.lit("en"), "en", F.lit("es"), "es")).alias("language", "text")
+    by_code = entities.sections_by_code(parts.select(F.col("p_brand").alias("pid"), F.col("p_type").alias("code"), titles))
+    return by_code.select(F.col("pid").alias("p_brand"), "code", F.col("titles")["en"].alias("en"), F.col("titles")["es"].alias("es"))
 
 
-@query("SELECT user_id, arg_max(event_type, event_id) AS last_type FROM events GROUP BY 1")
+@query("SELECT user_id, event_id // 64 AS rec, event_type, arg_max(CAST(event_id AS VARCHAR), event_id) AS last_id FROM events WHERE event_id % 5 > 0 GROUP BY 1, 2, 3")
 def last_wins_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").groupBy("user_id").agg(F.max_by("event_type", "event_id").alias("last_type"))
+    """Events of a user, 64 ids at a time, as items with a language and a text, every fifth text empty: the last text of each language."""
+    item = F.create_map(F.lit("language"), F.col("event_type"), F.lit("text"), F.when(F.col("event_id") % 5 == 0, "").otherwise(F.col("event_id").cast("string")))
+    users = _table(spark, sf_dir, "events").groupBy("user_id", F.shiftright("event_id", 6).alias("rec")).agg(F.array_sort(F.collect_list(F.struct("event_id", F.map_entries(item).alias("item")))).alias("items"))
+    items = F.transform("items", lambda x: F.map_from_entries(x["item"]))
+    return users.select("user_id", "rec", F.explode(entities.last_by(items, "language", "text")).alias("event_type", "last_id"))
 
 
 _STATUS_CTE = """
 WITH u AS (
     SELECT o_custkey, strftime(o_orderdate, '%Y%m%d') AS day, o_orderstatus AS status FROM orders
-    UNION ALL SELECT o_custkey, strftime(o_orderdate + INTERVAL 30 DAY, '%Y%m%d'), CASE o_orderpriority WHEN '1-URGENT' THEN 'C' ELSE substr(o_orderpriority, 1, 1) END FROM orders)
+    UNION ALL SELECT o_custkey, strftime(o_orderdate + INTERVAL 30 DAY, '%Y%m%d'), CASE o_orderpriority WHEN '1-URGENT' THEN 'C' ELSE substr(o_orderpriority, 1, 1) END FROM orders
+    WHERE o_orderpriority <> '2-HIGH')
 """
 
 
-def _status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _status_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a customer as entries and exits of a journal; some have no exit."""
     later = F.when(F.col("o_orderpriority") == "1-URGENT", "C").otherwise(F.substring("o_orderpriority", 1, 1))
     day = lambda c: F.date_format(c, "yyyyMMdd")
-    both = F.array(F.struct(day(F.col("o_orderdate")).alias("day"), F.col("o_orderstatus").alias("status")), F.struct(day(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("day"), later.alias("status")))
-    return _table(spark, sf_dir, "orders").select("o_custkey", F.explode(both).alias("e")).select("o_custkey", "e.day", "e.status")
+    entry = [F.lit("in_date"), day(F.col("o_orderdate")), F.lit("in_status"), F.col("o_orderstatus")]
+    leave = [F.lit("out_date"), day(F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")), F.lit("out_status"), later]
+    item = F.when(F.col("o_orderpriority") == "2-HIGH", F.create_map(*entry)).otherwise(F.create_map(*entry, *leave))
+    items = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(item).alias("items"))
+    return items.select("o_custkey", entities.status_history("items").alias("events"))
 
 
 @query(_STATUS_CTE + "SELECT o_custkey, day, status, count(*) AS n FROM u GROUP BY 1, 2, 3")
 def status_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _status_history(spark, sf_dir).groupBy("o_custkey", "day", "status").agg(F.count("*").alias("n"))
+    events = _status_events(spark, sf_dir).select("o_custkey", F.explode("events").alias("e"))
+    return events.groupBy("o_custkey", F.col("e.date").alias("day"), F.col("e.status").alias("status")).agg(F.count("*").alias("n"))
 
 
 @query(_STATUS_CTE + "SELECT o_custkey, nullif(max(day || status)[9:], 'C') AS reason FROM u GROUP BY 1")
 def unpublish_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = _status_history(spark, sf_dir).groupBy("o_custkey").agg(F.max(F.struct("day", "status")).alias("m"))
-    return last.select("o_custkey", F.nullif(F.col("m.status"), F.lit("C")).alias("reason"))
+    return _status_events(spark, sf_dir).select("o_custkey", entities.unpublish_reason(F.col("events")).alias("reason"))
 
 
 def _day(suffix: str) -> Column:
@@ -287,14 +294,31 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _table(spark, sf_dir, "nation")
     # codes of two letters that two nations share are left to the names
     countries = n.select(F.substring("n_name", 1, 2).alias("alpha_2_code"), F.lit("").alias("short_name_en"), F.col("n_name").alias("short_name_pt"), F.lit("").alias("short_name_es"))
-    s = _table(spark, sf_dir, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left").withColumn("code", F.when(F.col("s_suppkey") % 3 > 0, F.col("n_name")))
+    s = _table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").withColumn("code", F.when(F.col("s_suppkey") % 3 > 0, F.col("n_name")))
     return lookups.with_country(s, countries, "code").select("s_suppkey", "country_name", "country_code")
 
 
-@query("SELECT l_orderkey, l_linenumber, s_name, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
+@query("""
+SELECT DISTINCT l_orderkey, CAST(l_linenumber - 1 AS INTEGER) AS n, l_partkey, s_name, s_nationkey
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber AS line, l_suppkey, l_partkey FROM lineitem)) l JOIN supplier ON l_suppkey = s_suppkey
+""".replace("ORDER BY l_linenumber", "ORDER BY line, l_suppkey, l_partkey"))
 def author_aff_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as authors of a document, their suppliers as its affiliations."""
     line, s = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "supplier")
-    return line.join(s, line["l_suppkey"] == s["s_suppkey"]).select("l_orderkey", "l_linenumber", "s_name", "s_nationkey")
+    text = lambda c: F.col(c).cast("string")
+    authors = line.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.struct("l_linenumber", "l_suppkey", "l_partkey"))).alias("lines"))
+    author = F.transform("lines", lambda x: F.create_map(F.lit("xref"), x["l_suppkey"].cast("string"), F.lit("surname"), x["l_partkey"].cast("string")))
+    aff = F.create_map(F.lit("id"), text("s_suppkey"), F.lit("orgname"), F.col("s_name"), F.lit("country"), text("s_nationkey"))
+    affs = line.join(s, line["l_suppkey"] == s["s_suppkey"]).groupBy("l_orderkey").agg(F.collect_set(F.to_json(aff)).alias("affs"))
+    docs = authors.join(affs, "l_orderkey").select(
+        F.lit("").alias("path"), F.col("l_orderkey").alias("grp"), text("l_orderkey").alias("pid"), author.alias("authors"),
+        F.transform("affs", lambda x: F.from_json(x, "map<string,string>")).alias("affiliations"),
+    )
+    met = entities.authors_with_affiliations(docs)
+    return met.select(
+        F.col("pid").cast("long").alias("l_orderkey"), F.col("n").cast("int").alias("n"), F.col("author")["surname"].cast("long").alias("l_partkey"),
+        F.col("affiliation")["orgname"].alias("s_name"), F.col("affiliation")["country"].cast("int").alias("s_nationkey"),
+    )
 
 
 @query("""
@@ -314,8 +338,10 @@ def issue_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, lang FROM documents d WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1)")
 def semi_ref_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good = _table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return _table(spark, sf_dir, "documents").select("doc_id", "lang").join(good, "doc_id", "left_semi")
+    """Documents as citations, good labels as the references that the text has."""
+    same = [F.lit("pid").alias("pid"), F.col("doc_id").alias("ref_id")]
+    good = _table(spark, sf_dir, "labels").filter("quality = 1").select(*same)
+    return entities.merge_citations(_table(spark, sf_dir, "documents").select("doc_id", "lang", *same), good).select("doc_id", "lang")
 
 
 @query("SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
@@ -356,19 +382,18 @@ def collapse_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(html, '<b>', '<span name="style_bold">'), '<B>', '<span name="style_bold">'), '</b>', '</span>'), '</B>', '</span>'),
-    '<i>', '<span name="style_italic">'), '<I>', '<span name="style_italic">'), '</i>', '</span>'), '</I>', '</span>')) AS md5 FROM pages
+SELECT page_id, md5(replace(replace(replace(replace(replace(replace(replace(replace(html, '<b>', '<span style="bold">'), '<B>', '<span style="bold">'), '</b>', '</span>'), '</B>', '</span>'),
+    '<i>', '<span style="italic">'), '<I>', '<span style="italic">'), '</i>', '</span>'), '</I>', '</span>')) AS md5 FROM pages
 """)
 def style_to_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(spark, sf_dir).select("page_id", F.md5(tx.avoid_mismatched_styles(F.col("html"), {"b": "bold", "i": "italic"})).alias("md5"))
 
 
 @query(r"""
-SELECT page_id, entity, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '&[^\s;&#]+;')) AS entity FROM pages) GROUP BY 1, 2
+SELECT DISTINCT page_id, entity FROM (SELECT page_id, unnest(regexp_extract_all(html, '&[^\s;&#]+;')) AS entity FROM pages) WHERE entity NOT IN ('&amp;', '&lt;', '&gt;', '&quot;', '&apos;')
 """)
 def entity_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all("html", F.lit(r"(&[^\s;&#]+;)"), F.lit(1))
-    return _pages(spark, sf_dir).select("page_id", F.explode(found).alias("entity")).groupBy("page_id", "entity").agg(F.count("*").alias("n"))
+    return _pages(spark, sf_dir).select("page_id", F.explode(tx.entities(F.col("html"))).alias("entity"))
 
 
 _LINKS = r"""
@@ -393,25 +418,13 @@ SELECT page_id, pos, CASE WHEN link = '' THEN 'none' WHEN link LIKE '%mailto%' O
     WHEN regexp_matches(string_split(link, '/')[1], '[^.]') AND string_split(link, '/')[1] LIKE '%.%' THEN 'external' ELSE 'other' END AS kind FROM l
 """)
 def link_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    link = F.col("link")
-    head = F.split(link, "/")[0]
-    kind = (
-        F.when(link == "", "none")
-        .when(link.contains("mailto") | link.contains("@"), "email")
-        .when(link.startswith("#"), "internal")
-        .when(link.contains("img/revistas/") | link.contains(".."), "asset")
-        .when(link.contains(":") | link.contains("www") | link.startswith("http"), "external")
-        .when(head.rlike("[^.]") & head.contains("."), "external")
-        .otherwise("other")
-    )
+    kind = F.when(F.col("link") == "", "none").otherwise(body.link_kind_of(F.col("link")))
     return _links(spark, sf_dir).select("page_id", "pos", kind.alias("kind"))
 
 
-@query(_LINKS + "SELECT page_id, link, min(pos) AS pos, count(*) AS n FROM l GROUP BY 1, 2")
+@query(_LINKS + "SELECT page_id, link, min(pos) AS pos FROM l GROUP BY 1, 2")
 def dedupe_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("page_id", "link")
-    numbered = _links(spark, sf_dir).withColumn("k", F.row_number().over(w.orderBy("pos"))).withColumn("n", F.count("*").over(w))
-    return numbered.filter("k = 1").select("page_id", "link", "pos", "n")
+    return entities.first_of_each(_links(spark, sf_dir), ["page_id", "link"], "pos").select("page_id", "link", "pos")
 
 
 @query(r"SELECT page_id, n_h, n_p, n_a, n_img, n_table FROM (SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)<h[1-6][\s>]')) AS BIGINT) AS n_h, CAST(len(regexp_extract_all(html, '(?i)<p[\s>]')) AS BIGINT) AS n_p, CAST(len(regexp_extract_all(html, '(?i)<a[\s>]')) AS BIGINT) AS n_a, CAST(len(regexp_extract_all(html, '(?i)<img[\s>]')) AS BIGINT) AS n_img, CAST(len(regexp_extract_all(html, '(?i)<table[\s>]')) AS BIGINT) AS n_table FROM pages)")
@@ -516,11 +529,17 @@ def file_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select("p_partkey", tx.file_role(name, k.cast("string"), F.array(F.lit("en"), F.lit("es"))).alias("role"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'image' WHEN 1 THEN 'html' ELSE 'other' END AS asset_type, CASE p_partkey % 3 WHEN 0 THEN 'jpeg' WHEN 1 THEN 'html' ELSE 'octet-stream' END AS mime_subtype FROM part")
+# Names with every extension that has a type, and some that have none.
+_NAMES = [f"a.b/{'C' if k % 2 else 'c'}{x.upper() if k % 2 else x}" for k, x in enumerate(T.ASSET_TYPES)] + ["d.e/f", "x.unknown", "g.gz/h"]
+_NAME_ROWS = ", ".join(
+    f"({k}, '{n}', " + ", ".join(f"'{v}'" for v in T.ASSET_TYPES.get(n[n.rindex("."):].lower() if "/" not in n[n.rindex("."):] else "", ("other", "application", "octet-stream"))) + ")" for k, n in enumerate(_NAMES)
+)
+
+
+@query(f"SELECT p_partkey, t.asset_type, t.mimetype, t.mime_subtype FROM part JOIN (VALUES {_NAME_ROWS}) t(i, name, asset_type, mimetype, mime_subtype) ON p_partkey % {len(_NAMES)} = t.i")
 def asset_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("p_partkey")
-    a = patterns.asset_type(F.when(k % 3 == 0, "a/b.JPG").when(k % 3 == 1, "x.y/c.htm").otherwise("d.e/f"))
-    return _table(spark, sf_dir, "part").select("p_partkey", a["asset_type"].alias("asset_type"), a["mime_subtype"].alias("mime_subtype"))
+    a = patterns.asset_type(F.element_at(F.array(*[F.lit(n) for n in _NAMES]), (F.col("p_partkey") % len(_NAMES) + 1).cast("int")))
+    return _table(spark, sf_dir, "part").select("p_partkey", *[a[c].alias(c) for c in ("asset_type", "mimetype", "mime_subtype")])
 
 
 # ---- paragraphs and references -----------------------------------------------------------------
@@ -541,17 +560,21 @@ def ref_range_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS guessed_index FROM conversations WHERE length(text) > 60")
+@query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS guessed_index FROM conversations WHERE trim(regexp_replace(text, '<[^>]*>', '', 'g')) <> ''")
 def guessed_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folioframe.operators import paragraphs
 
-    rows = _table(spark, sf_dir, "conversations").filter(F.length("text") > 60).select(F.col("conv_id").alias("pid"), F.col("turn").alias("pos"), "text")
+    rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("pid"), F.col("turn").alias("pos"), "text")
     return paragraphs.guessed_indexes(rows).select(F.col("pid").alias("conv_id"), F.col("pos").alias("turn"), F.col("guessed_index").cast("long").alias("guessed_index"))
 
 
-@query("SELECT o_orderstatus AS rec_type, count(*) AS n FROM orders GROUP BY 1")
+@query("SELECT o_custkey, lower(o_orderstatus) AS rec_type, count(*) AS n FROM orders WHERE o_orderstatus IN ('O', 'F', 'P') GROUP BY 1, 2")
 def record_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("rec_type")).agg(F.count("*").alias("n"))
+    """Orders of a customer as the records of a group, typed by their status."""
+    record = F.create_map(F.lit("v706"), F.array(F.create_map(F.lit("_"), F.lower("o_orderstatus"))))
+    groups = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list(record).alias("records"))
+    typed = entities.typed_records(groups.select(F.lit("").alias("path"), F.col("o_custkey").alias("grp"), F.col("o_custkey").cast("string").alias("pid"), "records"))
+    return entities.record_stats(typed).select(F.col("grp").alias("o_custkey"), "rec_type", "n")
 
 
 # ---- trees (no SQL: invariants are tested) -----------------------------------------------------
@@ -567,8 +590,6 @@ def html_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def body_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from folioframe.operators import body
-
     parts = F.to_json(F.struct(F.col("html").alias("before")))
     made = spread(_pages(spark, sf_dir)).select("page_id", body.convert_body(parts).alias("b"))
     return made.select("page_id", F.col("b.xml").alias("xml"), F.size("b.errors").cast("long").alias("n_errors"))
@@ -577,7 +598,7 @@ def body_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def article_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as articles with a title, an author, a language and the converted body."""
-    from folioframe.operators import article, body
+    from folioframe.operators import article
 
     rows = spread(_pages(spark, sf_dir)).select(
         "page_id",

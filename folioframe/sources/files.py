@@ -6,6 +6,7 @@ is missing gives an error row. Scans are unions of Spark's file reader, so a sto
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 from functools import reduce
 
@@ -117,10 +118,21 @@ class SitePaths:
     def __init__(self, bases: str, bases_work: str, serial: str):
         self.bases, self.bases_work, self.serial = bases, bases_work, serial
 
-    def document_sources(self, acronym: str, issue_folder: str | None = None) -> list[str]:
-        """Path patterns, the most specific first: an issue's own dumps, its database, then the journal's."""
-        issue = [f"{self.serial}/{acronym}/{issue_folder}/base_xml/id/i.id", f"{self.serial}/{acronym}/{issue_folder}/base_xml/id/*.id", f"{self.serial}/{acronym}/{issue_folder}/base/{issue_folder}.id"]
-        return (issue if issue_folder else []) + [f"{self.bases_work}/{acronym}/{acronym}.id"]
+    def document_sources(self, acronym: str, issue_folder: str | None = None, whole_journal: bool = True, order: Sequence[str] | None = None) -> list[str]:
+        """Path patterns, the first that has rows counts: of an issue, its own dumps, its part of the journal's, its database; then the journal's.
+
+        ``order`` names the sources otherwise, such as ``FILES_ORDER``. Databases themselves are not decoded: their text dumps stand beside them.
+        """
+        issue, work = f"{self.serial}/{acronym}/{issue_folder}", f"{self.bases_work}/{acronym}"
+        patterns = {
+            "xml": [f"{issue}/base_xml/id/i.id", f"{issue}/base_xml/id/*.id"],
+            "subset": [f"{work}/{acronym}_{issue_folder}.id"],
+            "base": [f"{issue}/base/{issue_folder}.id"],
+            "journal": [f"{work}/{acronym}.id"],
+        }
+        names = order or ["xml", "subset", "base", "journal"]
+        own = {"xml", "subset", "base"} if issue_folder else set()
+        return [p for name in names if name in own or name == "journal" and whole_journal for p in patterns[name]]
 
     def paragraphs(self, pid: str) -> list[str]:
         """The dump of a document's paragraphs, in the work area first."""
@@ -130,8 +142,12 @@ class SitePaths:
         return [f"{self.bases_work}/{path}", f"{self.bases}/{path}"]
 
 
+#: The other order of preference: the journal's dump before the issue's database.
+FILES_ORDER = ("xml", "journal", "base", "subset")
+
+
 def read_first(spark: SparkSession, patterns: Sequence[str], kind: str = "artigo") -> DataFrame:
-    """Groups of the first source that exists; none gives an empty table."""
+    """Groups of the first source that has any; none gives an empty table."""
     from folioframe.sources.isis import read_isis
 
     for pattern in patterns:
@@ -139,10 +155,17 @@ def read_first(spark: SparkSession, patterns: Sequence[str], kind: str = "artigo
             found = read_isis(spark, pattern, kind)
         except AnalysisException:
             continue
-        return found
+        if not found.isEmpty():
+            return found
     return read_isis(spark, None, kind)
 
 
+def alternative_assets(spark: SparkSession, root: str, acronym: str, folder: str) -> DataFrame:
+    """Assets of an issue anywhere below a folder ``fbpe`` under the root; a root without any gives none."""
+    found = assets(spark, root).filter("error IS NULL")
+    return found.filter(F.col("path").rlike(rf"/fbpe/(?:.*/)?\Q{acronym}\E/\Q{folder}\E/"))
+
+
 def documents_of_issue(groups: DataFrame, issue_pid: str) -> DataFrame:
     return groups.filter(F.col("pid").contains(issue_pid))
 
@@ -154,19 +177,33 @@ def link_fixes(html: DataFrame, files: DataFrame) -> DataFrame:
     return found.withColumn("name", tx.base_name(F.regexp_replace("old", "[?#].*$", ""))).join(named, "name").select("path", "old", "new")
 
 
-def embedding_closure(pages: DataFrame, rounds: int = 20) -> DataFrame:
-    """(page, embedded, depth): local pages that each page reaches by links (page, linked); cycles end where they close."""
-    spark = pages.sparkSession
-    edges = pages.select("page", "linked").distinct()
-    edges.createOrReplaceTempView("_page_links")
-    return spark.sql(
-        f"""WITH RECURSIVE reach(page, embedded, depth, trail) AS (
-            SELECT page, linked, 1, array(page, linked) FROM _page_links
-            UNION ALL
-            SELECT r.page, l.linked, r.depth + 1, concat(r.trail, array(l.linked)) FROM reach r JOIN _page_links l ON l.page = r.embedded
-            WHERE NOT array_contains(r.trail, l.linked) AND r.depth < {rounds})
-        SELECT page, embedded, min(depth) AS depth FROM reach GROUP BY page, embedded"""
-    )
+def embedding_closure(pages: DataFrame) -> DataFrame:
+    """(page, embedded, depth): local pages that each page reaches by links (page, linked), with the fewest links between them; cycles end where they close.
+
+    A round joins the pairs found last to the links and keeps those that are new, so it ends after the longest of the shortest ways.
+    """
+    links = _cut(pages.select("page", "linked").filter("page IS NOT NULL AND linked IS NOT NULL").distinct())
+    found = links.select("page", F.col("linked").alias("embedded"), F.lit(1).alias("depth"))
+    last, depth = found, 1
+    while True:
+        depth += 1
+        ahead = last.select("page", F.col("embedded").alias("via")).join(links.select(F.col("page").alias("via"), F.col("linked").alias("embedded")), "via")
+        new = ahead.filter("page <> embedded").select("page", "embedded").distinct().join(found, ["page", "embedded"], "left_anti")
+        last = _cut(new.withColumn("depth", F.lit(depth)))
+        if last.isEmpty():
+            return found
+        found = _cut(found.unionByName(last))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """The same rows from the checkpoint folder that the executors share."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="folioframe-"))
+    return df.checkpoint()
 
 
 @F.udtf(returnType="member: string, size: bigint")
@@ -183,3 +220,23 @@ class ZipMembers:
                     yield info.filename, info.file_size
         except zipfile.BadZipFile:
             return
+
+
+@F.udtf(returnType="member: string, content: binary")
+class ZipContents:
+    """Contents of a zip archive's members, from its bytes; all, or those of one name. One that can't be read is null."""
+
+    def eval(self, content: bytes, name: str = None):
+        import io
+        import zipfile
+
+        try:
+            with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                for member in archive.namelist():
+                    if name is None or member == name:
+                        try:
+                            yield member, archive.read(member)
+                        except (zipfile.BadZipFile, NotImplementedError, RuntimeError):
+                            yield member, None
+        except zipfile.BadZipFile:
+            return

@@ -5,8 +5,8 @@ field above. Content has ``^x`` subfields. The steps are DataFrame operators, ea
 
     lines  -> records -> fields -> parsed records -> groups
 
-Only the line and record numbering needs an order, and only within one file: windows are partitioned by
-path. Large dumps are best delivered as many files.
+Only the line and record numbering needs an order, and only within one file. It is made of prefix sums over blocks
+of a file, so a dump of any size is read and numbered by many tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioframe.functions.columns import last_of_each
+from folioframe.operators.runs import run_length_groups, running_totals
 
 #: Codes that may follow ``^``; ``_`` is the part before the first one.
 SUBFIELD_CODES = "_abcdefghijklmnopqrstuvwxyz123456789"
@@ -33,16 +34,23 @@ def strip(text: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
-    """(path, n, line): stripped lines of every file, numbered from 0; lines that are empty stay."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
-    return files.select("path", F.posexplode(F.split(F.decode("content", encoding), "\r\n|\r|\n")).alias("n", "line")).select("path", "n", strip(F.col("line")).alias("line"))
+    """(path, n, line): stripped lines of every file, numbered from 0; lines that are empty stay.
+
+    Files are read in blocks; a line's number is its place in its block and the number of lines in the blocks before.
+    """
+    raw = spark.read.option("recursiveFileLookup", True).text(path)
+    rows = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    counts = rows.groupBy("path", "block").agg(F.count("*").alias("lines"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    numbered = rows.withColumn("k", F.row_number().over(Window.partitionBy("path", "block").orderBy("id")) - 1).join(offsets, ["path", "block"])
+    return numbered.select("path", (F.col("before") + F.col("k")).alias("n"), strip(F.decode(F.col("value").cast("binary"), encoding)).alias("line"))
 
 
 def number_records(lines: DataFrame) -> DataFrame:
     """Adds ``rec`` (0 before the first record mark) and ``field`` (running number of field lines, 0 before the first)."""
-    order = Window.partitionBy("path").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     starts = F.col("line").startswith("!ID ")
-    return lines.withColumn("rec", F.sum(starts.cast("long")).over(order)).withColumn("field", F.sum((F.col("line").startswith("!v") | starts).cast("long")).over(order))
+    return running_totals(lines, {"rec": starts, "field": F.col("line").startswith("!v") | starts}, ["path"], "n")
 
 
 def join_continuations(numbered: DataFrame) -> DataFrame:
@@ -136,20 +144,14 @@ def id_function(kind: str) -> Callable[[Column | str], Column]:
     return {"title": journal_id, "issue": issue_id}.get(kind, article_id)
 
 
-def run_length_groups(df: DataFrame, key: str, order: str, partition: list[str] | str = "path", group: str = "grp") -> DataFrame:
-    """Adds the number of the run of consecutive rows with equal keys, from 1; a key that comes again starts another run."""
-    w = Window.partitionBy(partition).orderBy(order)
-    starts = (F.row_number().over(w) == 1) | ~F.lag(key).over(w).eqNullSafe(F.col(key))
-    return df.withColumn("_start", starts.cast("long")).withColumn(group, F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_start")
-
-
 def group_records(records: DataFrame, kind: str = "artigo") -> DataFrame:
     """(path, grp, pid, records): consecutive records of one identity, in order."""
     keyed = records.withColumn("pid", id_function(kind)("record"))
     grouped = run_length_groups(keyed, "pid", "rec")
-    packed = F.array_sort(F.collect_list(F.struct("rec", F.to_json("record").alias("record"))))
+    by_place = lambda a, b: F.when(a["rec"] < b["rec"], -1).when(a["rec"] > b["rec"], 1).otherwise(0)
+    packed = F.array_sort(F.collect_list(F.struct("rec", "record")), by_place)
     out = grouped.groupBy("path", "grp").agg(F.first("pid").alias("pid"), packed.alias("records"))
-    return out.withColumn("records", F.transform("records", lambda r: F.from_json(r["record"], RECORD_TYPE)))
+    return out.withColumn("records", F.transform("records", lambda r: r["record"]))
 
 
 def read_records(spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1") -> DataFrame:
@@ -172,12 +174,17 @@ def route_groups(groups: DataFrame) -> DataFrame:
 
 
 def join_issues_seen(routed: DataFrame) -> DataFrame:
-    """Documents with the records of their issue, if it came before them in the same dump; of several, the latest."""
-    docs = routed.filter(F.col("kind") != "issue")
-    issues = routed.filter(F.col("kind") == "issue").select(F.col("path").alias("i_path"), F.col("grp").alias("i_grp"), F.col("pid").alias("issue_pid"), F.col("records").alias("issue_records"))
-    pairs = docs.join(issues, (F.col("path") == F.col("i_path")) & (F.col("i_id") == F.col("issue_pid")) & (F.col("i_grp") < F.col("grp")), "left")
-    w = Window.partitionBy("path", "grp").orderBy(F.col("i_grp").desc_nulls_last())
-    return pairs.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k", "i_path", "i_grp")
+    """Documents with the records of their issue, if it came before them in the same dump; of several, the latest.
+
+    One pass over each issue's documents and records, in order: a repeated issue costs no more than its rows.
+    """
+    is_issue = F.col("kind") == "issue"
+    # what belongs to no issue has a place of its own
+    issue = F.coalesce(F.when(is_issue, F.col("pid")).otherwise(F.col("i_id")), F.concat(F.lit("\x1f"), F.col("grp").cast("string")))
+    w = Window.partitionBy("path", "_issue").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.last(F.when(is_issue & F.col("pid").isNotNull(), F.struct("pid", "records")), ignorenulls=True).over(w)
+    out = routed.withColumn("_issue", issue).withColumn("_seen", seen).filter(~is_issue)
+    return out.select("*", F.col("_seen.pid").alias("issue_pid"), F.col("_seen.records").alias("issue_records")).drop("_issue", "_seen")
 
 
 # Lookups that the dumps' own tools do by index

@@ -5,7 +5,7 @@ A file is one unit: it is read whole, so records and groups never cross batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,8 +26,8 @@ def groups_of_files(files: DataFrame, kind: str = "artigo", encoding: str = "ISO
 
 def latest(groups: DataFrame) -> DataFrame:
     """The last group of each pid, by arrival, then by place."""
-    w = Window.partitionBy("pid").orderBy(F.col("arrived").desc(), F.col("path").desc(), F.col("grp").desc())
-    return groups.withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k")
+    last = F.max_by(F.struct(*groups.columns), F.struct("arrived", "path", "grp"))
+    return groups.groupBy("pid").agg(last.alias("last")).select("last.*")
 
 
 def run(spark: SparkSession, folder: str, target: str, checkpoint: str, kind: str = "artigo", available_now: bool = True) -> StreamingQuery:

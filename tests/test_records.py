@@ -1,5 +1,7 @@
 """Dumps, records, projections and dictionaries."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,3 +167,90 @@ def test_file_scans(spark, tmp_path):
 def test_embedding_closure_ends_on_cycles(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "page string, linked string")
     assert {(r.page, r.embedded, r.depth) for r in files.embedding_closure(df).collect()} == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1), ("b", "a", 2), ("c", "a", 1), ("c", "b", 2)}
+
+
+def numbered(spark, lines, chunk_bits, monkeypatch):
+    from folioframe.operators import runs
+
+    monkeypatch.setattr(runs, "CHUNK_BITS", chunk_bits)
+    df = spark.createDataFrame([("a", n, x) for n, x in enumerate(lines)] + [("b", n, x) for n, x in enumerate(lines[7:])], "path string, n int, line string")
+    return isis.number_records(df)
+
+
+@pytest.mark.parametrize("chunk_bits", [0, 1, 3, 17])
+def test_totals_and_runs_over_chunks(spark, monkeypatch, chunk_bits):
+    """Numbering is the same however the order is cut into chunks."""
+    rng = random.Random(chunk_bits)
+    lines = [rng.choice(["!ID 1", "!v010!x", "more", ""]) for _ in range(60)]
+    for path, own in (("a", lines), ("b", lines[7:])):
+        rec = field = 0
+        wanted = []
+        for n, x in enumerate(own):
+            rec += x.startswith("!ID ")
+            field += x.startswith(("!v", "!ID "))
+            wanted.append((n, rec, field))
+        got = numbered(spark, lines, chunk_bits, monkeypatch).filter(F.col("path") == path).select("n", "rec", "field").collect()
+        assert sorted(map(tuple, got)) == wanted
+    keys = [rng.choice(["x", "y", None]) for _ in range(60)]
+    runs_of = isis.run_length_groups(spark.createDataFrame([("a", n, k) for n, k in enumerate(keys)], "path string, rec int, k string"), "k", "rec")
+    grp, wanted = 0, []
+    for n, k in enumerate(keys):
+        grp += n == 0 or keys[n - 1] != k
+        wanted.append((n, grp))
+    assert sorted((r.rec, r.grp) for r in runs_of.collect()) == wanted
+
+
+def test_a_large_dump_is_read_in_blocks(spark, tmp_path):
+    text = "".join(f"!ID {i}\r\n!v706!o\n!v012!é{i}\n\nmore\n" for i in range(3000))
+    (tmp_path / "big.id").write_bytes(text.encode("latin-1"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = isis.read_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+        got = [r.line for r in rows.orderBy("n").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == text.replace("\r\n", "\n").split("\n")[:-1]
+    assert [r.n for r in rows.select("n").orderBy("n").collect()] == list(range(len(got)))
+
+
+def test_only_the_latest_issue_before_a_document(spark):
+    one = lambda v: [{"v000": [{"_": v}]}]
+    rows = [("d", 1, "i1", "issue", None, one("1")), ("d", 2, "x", "doc", "i1", one("x")), ("d", 3, "i1", "issue", None, one("3")), ("d", 4, "y", "doc", "i1", one("y")), ("d", 5, "z", "doc", "i2", one("z")), ("d", 6, "i2", "issue", None, one("6")), ("d", 7, "w", "invalid", None, one("w")), ("e", 1, "q", "doc", "i1", one("q"))]
+    df = spark.createDataFrame(rows, f"path string, grp long, pid string, kind string, i_id string, records array<{isis.RECORD_TYPE}>")
+    got = {r.pid: (r.issue_pid, r.issue_records and r.issue_records[0]["v000"][0]["_"]) for r in isis.join_issues_seen(df).collect()}
+    assert got == {"x": ("i1", "1"), "y": ("i1", "3"), "z": (None, None), "w": (None, None), "q": (None, None)}
+
+
+def test_the_first_source_with_rows(spark, dump, tmp_path):
+    (tmp_path / "empty.id").write_bytes(b"")
+    found = files.read_first(spark, [str(tmp_path / "none.id"), str(tmp_path / "empty.id"), str(dump / "a.id")])
+    assert found.count() == 4 and files.read_first(spark, [str(tmp_path / "none.id")]).count() == 0
+    site = files.SitePaths("b", "w", "s")
+    assert site.document_sources("aa", "v1") == ["s/aa/v1/base_xml/id/i.id", "s/aa/v1/base_xml/id/*.id", "w/aa/aa_v1.id", "s/aa/v1/base/v1.id", "w/aa/aa.id"]
+    assert site.document_sources("aa", "v1", order=files.FILES_ORDER)[2] == "w/aa/aa.id" and site.document_sources("aa") == ["w/aa/aa.id"]
+
+
+def test_closure_of_a_dense_graph(spark):
+    """Every page links to the next five of sixty in a ring: paths are without number, pairs are not."""
+    df = spark.createDataFrame([(f"p{i}", f"p{(i + d) % 60}") for i in range(60) for d in range(1, 6)], "page string, linked string")
+    got = {(r.page, r.embedded): r.depth for r in files.embedding_closure(df).collect()}
+    assert got == {(f"p{i}", f"p{(i + d) % 60}"): -(-d // 5) for i in range(60) for d in range(1, 60)}
+
+
+def test_zip_contents_and_alternative_assets(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("a.xml", "<a/>")
+        z.writestr("b.txt", "b")
+    (tmp_path / "bad.zip").write_bytes(b"no zip")
+    spark.udtf.register("zip_contents", files.ZipContents)
+    spark.read.format("binaryFile").load(str(tmp_path)).createOrReplaceTempView("_zips")
+    assert [(r.member, bytes(r.content)) for r in spark.sql("SELECT t.* FROM _zips, LATERAL zip_contents(content, 'a.xml') t").collect()] == [("a.xml", b"<a/>")]
+    assert spark.sql("SELECT t.* FROM _zips, LATERAL zip_contents(content) t").count() == 2
+    for name in ("img/fbpe/x/aa/v1/f.gif", "fbpe/aa/v1/sub/g.gif", "fbpe/aa/v2/h.gif", "other/aa/v1/i.gif"):
+        p = tmp_path / "site" / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(b"x")
+    assert {r.name for r in files.alternative_assets(spark, str(tmp_path / "site"), "aa", "v1").collect()} == {"f.gif", "g.gif"}

@@ -23,7 +23,7 @@ def test_repairs(spark):
     assert values(spark, tx.avoid_mismatched_tags(t), ["<p>a\nb</p>\n<p>c</p>"]) == ['<p type="open"/>a\nb<p type="close"/>\n<p>c</p>']
     assert values(spark, tx.remove_namespaced_tags(t), ['<o:p>x</o:p> <a href="http://y">z</a>']) == ['x <a href="http://y">z</a>']
     assert values(spark, tx.remove_tags(t), ["<p>1 > 2</p> <a href=x>y</a>"]) == ["1 &gt; 2 y"]
-    assert values(spark, tx.avoid_mismatched_styles(t), ["<b>x</b> <B>y</B> <b class='z'>"]) == ['<span name="style_bold">x</span> <span name="style_bold">y</span> <b class=\'z\'>']
+    assert values(spark, tx.avoid_mismatched_styles(t), ["<b>x</b> <B>y</B> <b class='z'>"]) == ['<span style="bold">x</span> <span style="bold">y</span> <b class=\'z\'>']
     assert values(spark, tx.numeric_entities(t), ["&eacute;&amp;&foo;", None]) == ["&#233;&amp;&amp;foo;", None]
     assert values(spark, tx.safe_unescape(t), ["&lt;b&gt; &eacute; &amp; &#60;"]) == ["&lt;b&gt; é &amp; &#60;"]
     assert values(spark, tx.valid_id(t), ["é 1", "1a", "***"]) == ["e1", "_1a", "id1"]
@@ -158,3 +158,26 @@ def test_node_table_and_paragraphs(spark):
 def test_fuzzy_section_types(spark):
     titles = ["metodos", "resultados e discussao", "literatura citada", "a title of many words", "introduccion", None]
     assert values(spark, p.fuzzy_section_type(F.col("t")), titles) == ["methods", "results|discussion", "", None, "intro", None]
+
+
+def test_link_kinds_of_columns_and_trees(spark):
+    from folioframe.operators.body import link_kind, link_kind_of
+
+    links = ["mailto:x", "a@b.c", "#x", "/aa/v1/f.gif", "/AA/v1/", "http://h/aa/f.gif", "img/revistas/x/y", "../x", "www.h.org", "x:y", "h.org/x", "./x", "page", "", "..", "/x/y.pdf#p"]
+    rows = [(x, t, r) for x in links for t in ("", "me@x.y") for r in (True, False)]
+    df = spark.createDataFrame(rows, "href string, text string, r boolean")
+    for acronym in ("aa", None):
+        got = df.select("href", "text", "r", link_kind_of(F.col("href"), F.col("text"), acronym, F.col("r")).alias("k")).collect()
+        assert {(x.href, x.text, x.r): x.k for x in got} == {(h, t, r): link_kind(h, t, acronym or "", r) for h, t, r in rows}
+    assert [link_kind(h, "", "aa", False) for h in links] == ["email", "email", "internal", "asset", "asset", "asset", "asset", "asset", "external", "external", "external", "other", "other", "other", "asset", "other"]
+    assert link_kind("http://h/aa/f.gif", "", "aa", True) == "external"
+
+
+def test_a_detector_decides_the_language(spark):
+    import json
+
+    from folioframe.operators import article
+
+    d = {"original_language": "en", "document_type": "oa", "article_titles": [{"language": "en", "text": "Titre"}], "original_title": "Titre"}
+    xml = lambda detector: spark.createDataFrame([(json.dumps(d),)], "d string").select(article.article_xml(F.col("d"), detector)["xml"]).first()[0]
+    assert 'xml:lang="fr"' in xml(lambda text: "fr" if "Titre" in text else None) and 'xml:lang="fr"' not in xml(None)
