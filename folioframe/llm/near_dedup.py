@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.llm.bloom import Bloom
 from folioframe.llm.graphs import Sets, components
 from folioframe.llm.shared import dropped, heavy_keys, lookup, written
 from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64
@@ -390,7 +391,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     family, agree, edges = _families(classes, threshold, trees)
     plan = _plan(family, agree, classes)
     heavy = heavy_keys(known, "text_hash")
-    grams = lookup(rows, plan.select("id", "text_hash", "node", "family", "block"), "text_hash", on=["id", "text_hash"], heavy=heavy)
+    # few texts are in a family: the others stay where they are read
+    key = F.xxhash64("id", "text_hash")
+    grams = lookup(Bloom(plan, key).kept(rows, key), plan.select("id", "text_hash", "node", "family", "block"), "text_hash", on=["id", "text_hash"], heavy=heavy)
     grams = grams.select("node", "family", "block", "text").mapInArrow(_grams_of(shingle), "node long, family long, block string, grams binary")
     if repeated:
         grams = grams.dropDuplicates(["node"])
