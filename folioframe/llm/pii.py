@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped context.
 
-The fixed patterns (e-mail, IP address, card and phone numbers) give the seeds. A seed's lexical context, the words next to
-it on the left, on the right, and on both sides, induces patterns; so do identifier-like words (those with a digit or an
+The fixed patterns (e-mail, IP address, card and phone numbers) give the seeds. A seed's lexical context, the word next to
+it on the left, on the right, on both sides, and the two words to the left, induces patterns; so do identifier-like words (those with a digit or an
 at-sign) and runs of words of digits with single blanks between them that no fixed pattern explains: they are the candidates, and those shaped like a kind can
 become one. Spark scores the graph between patterns and instances iteratively: a pattern is as good as the instances that stand in it, an instance as good as the patterns that it
 stands in (noisy or). Seeds keep score 1; junk that stands in a pattern lowers it. Patterns that are high at the end, seen
@@ -114,7 +114,7 @@ def _bounds(spans: list[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
 
 
 def _context(text: str, start: int, end: int, bounds: tuple[list[int], list[int]] = ((), ())) -> list[str]:
-    """The patterns around [start, end): left word, right word, and both. A fixed span that is glued to the word ends it."""
+    """The patterns around [start, end): left word, right word, both, and the two words to the left. A fixed span that is glued to the word ends it."""
     starts, ends = bounds
     z = start
     while z and text[z - 1] in _SEPARATORS:
@@ -125,6 +125,13 @@ def _context(text: str, start: int, end: int, bounds: tuple[list[int], list[int]
     while a > least and text[a - 1] not in _SEPARATORS:
         a -= 1
     left = _known(text[a:z].lower(), WORD) if a < z else "^"
+    z = a
+    while z and text[z - 1] in _SEPARATORS:
+        z -= 1
+    b = z
+    while b and z < a and text[b - 1] not in _SEPARATORS:
+        b -= 1
+    far = _known(text[b:z].lower(), WORD) if b < z else "^"
     a = end
     while a < len(text) and text[a] in _SEPARATORS:
         a += 1
@@ -137,7 +144,7 @@ def _context(text: str, start: int, end: int, bounds: tuple[list[int], list[int]
     before = text[start - 1 : start] in ("", " ", "\n", "\t")
     after = text[end : end + 1] in ("", " ", "\n", "\t")
     left, right = left + (" " if before else ""), (" " if after else "") + right
-    return [f"{left}\x1e_", f"_\x1e{right}", f"{left}\x1e_\x1e{right}"]
+    return [f"{left}\x1e_", f"_\x1e{right}", f"{left}\x1e_\x1e{right}", f"{far}\x1d{left}\x1e_"]
 
 
 class _Taken:
@@ -394,7 +401,10 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows and columns with every span replaced by its kind in angle brackets."""
+    """The same rows and columns with every span replaced by its kind in angle brackets; of overlapping spans the first one's.
+
+    Null and empty texts, null and repeated ids, and empty tables stay as they are; texts of any length are searched whole; columns may have any name.
+    """
     narrow = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in narrow.schema)
     at = docs.columns.index(text_col)

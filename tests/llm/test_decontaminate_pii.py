@@ -99,3 +99,64 @@ def test_difficult_documents(spark):
     got = find_pii(docs).collect()
     assert len(got) == docs.count() and sum(r.n_email for r in got) == 2
     assert redact_pii(docs).columns == docs.columns and find_pii(table(spark, [])).count() == 0
+
+
+def test_a_seed_that_is_everywhere(spark, monkeypatch):
+    """The same words again and again in texts and items: looked at piece by piece, with the same result."""
+    from folioframe.llm import decontaminate
+
+    items = [(i, f"{'again and again and ' * 6} end{i}") for i in range(20)]
+    rows = [(d, f"start{d} " + "again and again and " * 300 + f"end{d % 25} and more", None, None, 0) for d in range(10)]
+    docs, bench = table(spark, rows), spark.createDataFrame(items, ITEMS)
+    scan = lambda: sorted((r.doc_id, r.item_id, r.score) for r in contaminated(docs, bench).collect())
+    one = scan()
+    source = decontaminate._scan
+    monkeypatch.setattr(decontaminate, "_scan", lambda *a: _few_pairs(source(*a)))
+    assert len(one) == 200 and scan() == one
+
+
+def _few_pairs(scan):
+    def work(batches):
+        from folioframe.llm import decontaminate
+
+        decontaminate.PAIRS = 50
+        yield from scan(batches)
+
+    return work
+
+
+def card(rng, valid):
+    stem = f"4{rng.randrange(10**14):014}"
+    return next(c for c in (f"{stem}{d}" for d in range(10)) if bool(base_spans(c)) == valid)
+
+
+def test_discovery_has_precision_and_recall(spark):
+    """Held-out identifiers that no fixed pattern finds, of every kind, in learned contexts and out of them."""
+    rng = random.Random(21)
+    lead = {"email": ["reach me at", "mail goes to"], "ip": ["server address is", "connect from"], "card": ["charged to card", "paid by card"], "phone": ["call me on", "phone number is"]}
+    seed = {
+        "email": lambda i: f"user{i}@mail{i % 7}.example.com",
+        "ip": lambda i: f"{rng.randrange(1, 255)}.{rng.randrange(255)}.{rng.randrange(255)}.{rng.randrange(1, 255)}",
+        "card": lambda i: card(rng, True),
+        "phone": lambda i: f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(10**4):04}",
+    }
+    unseen = {
+        "email": lambda i: f"person{i}@localhost",
+        "ip": lambda i: f"10.{rng.randrange(256, 999)}.3.{i}",
+        "card": lambda i: card(rng, False),
+        "phone": lambda i: f"({rng.randrange(200, 999)}) 555-{rng.randrange(10**4):04}",
+    }
+    rows, truth = [], set()
+    for kind in lead:
+        for i in range(60):
+            rows.append((len(rows), f"{prose(rng, 15, 900)} {rng.choice(lead[kind])} {seed[kind](i)} {prose(rng, 15, 900)}", None, None, 0))
+        for i in range(15):
+            before, value = f"{prose(rng, 12, 900)} {rng.choice(lead[kind])} ", unseen[kind](i)
+            truth.add((len(rows), f"{kind}:{len(before)}:{len(before) + len(value)}"))
+            rows.append((len(rows), f"{before}{value} {prose(rng, 12, 900)}", None, None, 0))
+            rows.append((len(rows), f"{prose(rng, 12, 900)} {unseen[kind](i)} {prose(rng, 12, 900)}", None, None, 0))  # no context tells
+    found = set()
+    for r in find_pii(table(spark, rows)).collect():
+        found |= {(r.doc_id, s) for s in set(r.spans.split(",")) - set(r.base.split(",")) if s}
+    hits = len(found & truth)
+    assert hits / len(truth) >= 0.9 and hits / len(found) >= 0.95, (hits, len(truth), len(found))

@@ -10,7 +10,7 @@ import time
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folioframe.llm.pii import base_spans
+from folioframe.llm.pii import _bounds, _context, base_spans
 from folioframe.llm.queries import op6_pii
 from helpers import difficult, table
 
@@ -78,3 +78,12 @@ def test_query_on_difficult_and_given_texts(spark, sf, tmp_path):
         assert [r[f"n_{k}"] for k in PATTERNS] == [sum(s[2] == k for s in wanted) for k in PATTERNS]
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{z}" for a, z, k in wanted).encode()).hexdigest()
         assert set(f"{k}:{a}:{z}" for a, z, k in wanted) <= set(r.spans.split(",")) or not wanted
+
+
+def test_contexts_take_linear_time():
+    for text in ("a@b.c," * 50_000, "x" * 300_000 + " a@b.c" * 3, "a@b.c " * 50_000, "1.2.3.4/" * 40_000):
+        began, base = time.time(), base_spans(text)
+        bounds = _bounds(base)
+        for start, end, _ in base:
+            _context(text, start, end, bounds)
+        assert base and time.time() - began < 5
