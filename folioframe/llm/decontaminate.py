@@ -28,6 +28,8 @@ SEED, RARE = 4, 1e-3
 MATCH, MISMATCH, GAP = 1, -1, -1
 #: Scratch cells of one round of alignments.
 CELLS = 2_000_000
+#: Pairs of a seed's places in texts and items that are looked at together.
+PAIRS = 1_000_000
 
 
 def _words(texts) -> Words:
@@ -89,37 +91,39 @@ def align(item: np.ndarray, item_len: np.ndarray, text: np.ndarray, text_len: np
 
 
 def _scan(items: Items, least: float, least_score: int):
-    def candidates(w: Words):
-        """(document, item, from, to) windows of words around seeds, merged where they overlap."""
-        found = []
-        for k, (grams, places) in items.seeds.items():
-            if not len(grams):
-                continue
-            own = gram_hashes(w.hash, k)
-            lo = np.searchsorted(grams, own)
-            hit = np.flatnonzero((grams[np.minimum(lo, len(grams) - 1)] == own) & gram_starts(w.first, k))
-            if not len(hit):
-                continue
-            many = np.searchsorted(grams, own[hit], side="right") - lo[hit]  # places of this seed in the items
-            at = np.repeat(hit, many)
-            place = places[np.repeat(lo[hit] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())]
-            item = np.searchsorted(items.first, place, side="right") - 1
-            doc = np.searchsorted(w.first, at, side="right") - 1
-            n = items.lengths[item]
-            margin = n // 4 + 2
-            start = at - (place - items.first[item]) - margin
-            found.append(np.stack([doc, item, np.maximum(start, w.first[doc]), np.minimum(start + n + 2 * margin, w.first[doc + 1])]))
-        if not found:
-            return np.zeros((4, 0), dtype=np.int64)
-        doc, item, lo, hi = np.concatenate(found, axis=1)
+    def merged(doc, item, lo, hi):
+        """Windows of one document and item whose starts are close, as one that spans them."""
         order = np.lexsort((lo, item, doc))
         doc, item, lo, hi = doc[order], item[order], lo[order], hi[order]
         new = np.ones(len(doc), dtype=bool)
-        # a window joins the one before it if their starts are close; then it spans both
         new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (lo[1:] - lo[:-1] > items.lengths[item[1:]] // 2 + 2)
         heads = np.flatnonzero(new)
         return np.stack([doc[heads], item[heads], lo[heads], np.maximum.reduceat(hi, heads)]) if len(heads) else np.zeros((4, 0), dtype=np.int64)
 
+    def candidates(w: Words):
+        """(document, item, from, to) windows of words around seeds, merged where they overlap."""
+        found = [np.zeros((4, 0), dtype=np.int64)]
+        for k, (grams, places) in items.seeds.items():
+            if not len(grams):
+                continue
+            own = gram_hashes(w.hash, k)
+            first = np.searchsorted(grams, own)
+            hits = np.flatnonzero((grams[np.minimum(first, len(grams) - 1)] == own) & gram_starts(w.first, k))
+            times = np.searchsorted(grams, own[hits], side="right") - first[hits]  # places of this seed in the items
+            # a seed that is often in the text and in the items: a bounded number of its pairs at once
+            cuts = np.unique(np.concatenate([[0], np.searchsorted(np.cumsum(times), np.arange(PAIRS, int(times.sum()), PAIRS)), [len(hits)]]))
+            for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+                hit, many = hits[at:to], times[at:to]
+                spot = np.repeat(hit, many)
+                place = places[np.repeat(first[hit] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())]
+                item = np.searchsorted(items.first, place, side="right") - 1
+                doc = np.searchsorted(w.first, spot, side="right") - 1
+                n = items.lengths[item]
+                margin = n // 4 + 2
+                start = spot - (place - items.first[item]) - margin
+                found.append(merged(doc, item, np.maximum(start, w.first[doc]), np.minimum(start + n + 2 * margin, w.first[doc + 1])))
+        return merged(*np.concatenate(found, axis=1))
+
     def scan(batches):
         for batch in batches:
             rows = batch.num_rows
@@ -157,7 +161,6 @@ def _scan(items: Items, least: float, least_score: int):
                         pa.array(items.lengths[item[ok]].astype(np.int64)),
                         pa.array(share[ok]),
                         pa.array((lo + end - w.first[doc])[ok]),
-
                     ],
                     ["id", "item_id", "score", "item_words", "share", "end_word"],
                 )
@@ -165,8 +168,6 @@ def _scan(items: Items, least: float, least_score: int):
     return scan
 
 
-
-
 def _count(vocabulary: np.ndarray):
     def count(batches):
         total = np.zeros(len(vocabulary) + 2, dtype=np.int64)
