@@ -20,10 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.llm.shared import dropped, written
 from folioframe.llm.words import PUNCTUATION, U64, Words, mix64
 
 #: Labelled documents for training and calibration, at most (those with the smallest hash of their id).
 FIT_ROWS = 5_000
+#: Bytes of hashed words of these documents that come to the driver, at most (about 13 million words): those that come first by hash.
+FIT_BYTES = 256 << 20
 BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 6
 #: Bytes of the beginnings that are hashed beside the whole word.
 PREFIXES = (4, 5, 6, 7)
@@ -204,7 +207,10 @@ def calibrate(model: ToxicityModel, z: np.ndarray, y: np.ndarray, language: np.n
 def fit_on_labels(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", eligible: str = "true", fit_rows: int = FIT_ROWS
 ) -> ToxicityModel:
-    """The model, from at most ``fit_rows`` labelled documents for which the SQL predicate ``eligible`` over ``id`` holds; one in five calibrates."""
+    """The model, from at most ``fit_rows`` labelled documents for which the SQL predicate ``eligible`` over ``id`` holds; one in five calibrates.
+
+    If they have over ``FIT_BYTES`` of words, those that come first by the hash of their id are taken up to that.
+    """
     sample = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y"))
         .filter("id IS NOT NULL AND y IS NOT NULL").filter(eligible)
@@ -223,7 +229,14 @@ def fit_on_labels(
                     ["id", "y", "words", "language"],
                 )
 
-    found = rows.mapInArrow(work, "id string, y double, words binary, language int").orderBy(F.xxhash64("id"), "id").limit(2 * fit_rows).collect()
+    hashed = written(rows.mapInArrow(work, "id string, y double, words binary, language int").withColumn("h", F.xxhash64("id", "words")))
+    order = [F.xxhash64("id"), "id", "h"]
+    sizes = hashed.select("h", F.octet_length("words").alias("n"), "id").orderBy(*order).limit(2 * fit_rows).collect()
+    fits = np.cumsum([r["n"] for r in sizes]) <= FIT_BYTES
+    taken = [(r["id"], r["h"]) for r, ok in zip(sizes, fits, strict=True) if ok]
+    spark = docs.sparkSession
+    found = hashed.join(F.broadcast(spark.createDataFrame(taken, "id string, h long").distinct()), ["id", "h"]).orderBy(*order).limit(len(taken)).collect()
+    dropped(spark, hashed)
     words = [np.frombuffer(r["words"], dtype=np.int32).reshape(-1, KINDS) for r in found]
     y = np.array([r["y"] > 0 for r in found], dtype=float)
     language = np.array([r["language"] for r in found], dtype=np.int64)
