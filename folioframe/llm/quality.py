@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import lookup, written
+from folioframe.llm.shared import HEAVY_SHARE, lookup, written
 from folioframe.llm.words import Words
 
 #: Labelled documents that the model is fitted on, at most (those with the smallest hash of their id).
@@ -115,16 +115,18 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         .groupBy("id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id").select("y", "text")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    rows = rows.select("y", "text", F.xxhash64("id", "text").alias("h"))
 
     def work(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 x = surface(pa.chunked_array([part.column(1)]))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], ["y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x.tolist(), pa.list_(pa.float64())), part.column(2)], ["y", "x", "h"])
 
-    found = rows.mapInArrow(work, "y double, x array<double>").limit(2 * fit_rows).collect()
+    # in one order, so that repeated ids and the order of tasks make no other model
+    found = rows.mapInArrow(work, "y double, x array<double>, h long").orderBy("h").limit(2 * fit_rows).collect()
     x = np.array([r["x"] for r in found]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["y"] for r in found]))
 
@@ -225,14 +227,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", section_col: str = "lang", least: float = LEAST) -> DataFrame:
-    """The documents, with all their columns, whose score reaches ``least``. Texts are read again rather than shuffled."""
+    """The documents, with all their columns, whose score reaches ``least``. Texts are read again rather than shuffled.
+
+    Nulls, empty and long texts, repeated rows, missing labels and empty tables are as in score_quality(); columns may have any name.
+    """
     model = fit_on_labels(docs, labels, id_col, text_col)
     host, path = _sites(F.col(source_col), F.col(section_col))
     narrow = docs.select(host.alias("host"), path.alias("path"), F.col(text_col).alias("text"))
     sites = site_rates(_with_evidence(narrow, model, "text").drop("text"), model.base)
     wide = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], path.alias("path"))
     wide = _with_evidence(wide, model, f"c{docs.columns.index(text_col)}")
-    small = sites.rows <= BROADCAST_SITES
-    joined = wide.join(F.broadcast(sites.table), "path") if small else lookup(wide, sites.table, "path")
+    if sites.rows <= BROADCAST_SITES:
+        joined = wide.join(F.broadcast(sites.table), "path")
+    else:  # the sites tell which of them are heavy: texts are not scored to find out
+        total = sites.table.agg(F.sum("n")).first()[0]
+        heavy = [r["path"] for r in sites.table.filter(F.col("n") > max(1000, int(total * HEAVY_SHARE))).select("path").collect()]
+        joined = lookup(wide, sites.table, "path", heavy=heavy)
     kept = _posterior(joined, sites, model.base).filter(F.col("score") >= least)
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
