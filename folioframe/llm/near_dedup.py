@@ -38,6 +38,8 @@ FULL_RUN, NEIGHBOURS, HUBS = 256, 4, 8
 #: Shingles, and sets, of a family or block that one task holds at once.
 BLOCK_SHINGLES, BLOCK_SETS = 200_000, 512
 FAMILY_HUBS = 32
+#: So many ids, 8 bytes each, are broadcast.
+FEW = 1_000_000
 
 
 def trees_for(threshold: int) -> int:
@@ -427,6 +429,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 85, shingle: int = SHINGLE) -> DataFrame:
+    """The documents, with all their columns, of which near_duplicates() keeps the id; of rows equal in id and text one stays.
+
+    * null and empty texts, and null ids, are linked with nothing and stay;
+    * rows that share a kept id but not their text all stay: they are one document;
+    * which of the rows equal in id and text stays is open where their other columns differ; an empty table gives an empty one.
+    """
+    found = written(near_duplicates(docs, id_col, text_col, threshold, shingle).select(F.col(id_col).alias("_id"), "kept"))
+    gone = found.filter(~F.col("kept")).select("_id").distinct()
+    again = found.filter("kept AND _id IS NOT NULL").groupBy("_id").count().filter("count > 1").select("_id")
+    kept = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left_anti")
+    if again.isEmpty():
+        return kept
+    again = written(again)
+    same = kept[id_col].cast("long") == again["_id"]
+    if again.count() <= FEW:  # copies are then put together where they are read, before anything moves
+        again = F.broadcast(again)
+    one = kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, same, "left_anti").unionByName(one)
+
+
 def _ids(known: DataFrame) -> tuple[bool, bool]:
     """Are there ids with several rows, and with several sets?"""
     key = F.struct("h1", "h2", "n")

@@ -15,7 +15,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)])
 
 
-def brute(rows):
+def brute(rows, threshold=85):
     sets = [(r[0], shingles(r[1])) for r in rows]
     up = {i: i for i, _ in sets if i is not None}
 
@@ -28,7 +28,7 @@ def brute(rows):
         for j, t in sets[:a]:
             if s and t and None not in (i, j) and i != j:
                 both = len(s & t)
-                if 100 * both >= 85 * (len(s) + len(t) - both):
+                if 100 * both >= threshold * (len(s) + len(t) - both):
                     x, y = find(i), find(j)
                     up[max(x, y)] = min(x, y)
     return sorted(((i, len(s), None if i is None else find(i)) for i, s in sets), key=repr)
