@@ -1,7 +1,14 @@
 """A corpus pipeline of the training-data operators: quality, near duplicates, benchmark leaks, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all documents that the stage before kept, and returns a
-DataFrame; all but the last return the columns of ``docs``.
+DataFrame; all but the last return the columns of ``docs``. In every stage
+
+* null and empty texts stay: quality scores them by their site, they are near duplicates of nothing, hold no leak and no
+  personal data, and pack as an end id alone; very long texts are worked on whole;
+* rows that repeat an id are scored each; near_dedup keeps one of those with the same text; decontamination takes all rows of an id that
+  has a leak; null ids stay, since no other row can name them;
+* ties: the smallest id stays; nulls in source or lang are the site '';
+* an empty table gives an empty table, and columns beyond those of documents come through unchanged.
 """
 
 from __future__ import annotations
@@ -11,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.decontaminate import contaminated
-from folioframe.llm.near_dedup import near_duplicates
+from folioframe.llm.near_dedup import without_near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.pii import redact_pii
 from folioframe.llm.quality import keep_good
@@ -24,9 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (similarity 0.8 or more) stays, that with the smallest id."""
-    gone = near_duplicates(docs, threshold=80).filter(~F.col("kept")).select("doc_id")
-    return _without(docs, gone)
+    """One document of each group of near duplicates (similarity 0.8 or more) stays, that with the smallest id; of repeated rows one."""
+    return without_near_duplicates(docs, threshold=80).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
