@@ -40,7 +40,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from folioframe.plans import entity_queries  # noqa: F401  registers its own
+    from folioframe.plans import entity_queries, title_queries  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.functions import fields
+from folioframe.functions import fields, lookups
 from folioframe.functions import text as tx
 from folioframe.operators import entities, paragraphs
 from folioframe.plans.catalogue import _pages, _table, query
@@ -395,3 +395,52 @@ def link_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = F.lit('<a class="z" HREF=\'https://h/x/a.htm\'>')
     swapped = tx.replace_links(F.concat(F.lit('<a href="b/c.htm#p">'), k), F.create_map(F.lit("c.htm"), F.concat(F.lit("x/"), k, F.lit(".htm"))))
     return _table(spark, sf_dir, "documents").select("doc_id", tx.issn_of(uri).alias("issn"), tx.links(tag)[0]["link"].alias("link"), F.regexp_extract(swapped, 'href="([^"]*)"', 1).alias("swapped"))
+
+
+@query(r"""
+SELECT doc_id, md5(regexp_replace(strip_accents(lower(text)), '[^\p{L} ]', '', 'g')) AS letters_md5,
+    md5(CASE WHEN regexp_matches(x, '^[A-Za-z_]') THEN x WHEN x = '' THEN 'id1' ELSE '_' || x END) AS id_md5, md5(replace(text, '&', '&amp;')) AS entities_md5
+FROM (SELECT *, regexp_replace(strip_accents(text), '[^A-Za-z0-9_.\-]', '', 'g') AS x FROM documents WHERE text IS NOT NULL)
+""")
+def character_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts as letters alone, as ids, and with their ampersands spelled and read back but for what stands for markup."""
+    docs = _table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    text = F.col("text")
+    back = tx.safe_unescape(F.replace(text, F.lit("&"), F.lit("&amp;")))
+    return docs.select("doc_id", F.md5(tx.letters_only(text)).alias("letters_md5"), F.md5(tx.valid_id(text)).alias("id_md5"), F.md5(back).alias("entities_md5"))
+
+
+@query(r"""
+SELECT page_id, md5(replace(replace(trim(regexp_replace(html, '\s+', ' ', 'g')), '> ', '>'), ' <', '<')) AS md5 FROM pages
+""")
+def namespaced_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags with a namespace, put around each page and into it, go; all others and all texts stay."""
+    html = F.concat(F.lit("<o:p class='x'>"), "html", F.lit("</o:p><w:sdt/>"))
+    bare = tx.remove_namespaced_tags(html)
+    return _pages(spark, sf_dir).select("page_id", F.md5(F.replace(F.replace(tx.collapse_space(bare), F.lit("> "), F.lit(">")), F.lit(" <"), F.lit("<"))).alias("md5"))
+
+
+@query("""
+SELECT page_id, n_open, n_close, md5('x') AS rest_md5 FROM (
+    SELECT page_id, count(*) FILTER (k = 0) AS n_open, count(*) FILTER (k = 1) AS n_close FROM (SELECT page_id, unnest([0, 1, 2]) AS k FROM pages) WHERE k < 2 OR page_id < 0 GROUP BY 1)
+""")
+def unpaired_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a line that opens a paragraph, one that closes one and one that does both, the first two are marked."""
+    lines = F.lit("<p class='a'>one\ntwo</p>\n<p>three</p>")
+    fixed = tx.avoid_mismatched_tags(lines)
+    n = lambda kind: F.regexp_count(fixed, F.lit(f'<p type="{kind}"/>')).cast("long")
+    rest = F.when(F.split(fixed, "\n")[2] == "<p>three</p>", "x")
+    return _pages(spark, sf_dir).select("page_id", n("open").alias("n_open"), n("close").alias("n_close"), F.md5(rest).alias("rest_md5"))
+
+
+@query("""
+SELECT n_nationkey, n_name AS by_code, n_name AS by_name, substr(n_name, 1, 3) || n_nationkey AS code FROM nation
+""")
+def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as countries, looked up by code and by name, in a language and in none."""
+    n = _table(spark, sf_dir, "nation")
+    code = F.concat(F.substring("n_name", 1, 3), F.col("n_nationkey").cast("string"))
+    table = n.select(code.alias("alpha_2_code"), F.lit("").alias("short_name_en"), F.col("n_name").alias("short_name_pt"), F.concat(F.lit("es "), "n_name").alias("short_name_es"))
+    by_code = lookups.with_country(n.withColumn("c", code), table, "c").withColumnRenamed("country_name", "by_code").withColumnRenamed("country_code", "code")
+    by_name = lookups.with_country(by_code.withColumn("c", F.concat(F.lit("es "), "n_name")), table, "c", "pt")
+    return by_name.select("n_nationkey", "by_code", F.col("country_name").alias("by_name"), "code")
