@@ -109,6 +109,25 @@ def op5_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+OP5_SQL = """
+WITH RECURSIVE step AS (
+    SELECT i, CAST(i AS UBIGINT) AS c, 0 AS k FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hex FROM documents),
+b AS (
+    SELECT doc_id, length(hex) // 2 + 1 AS size, list_transform(regexp_extract_all(hex, '..'),
+        lambda x: CAST(instr('0123456789ABCDEF', x[1]) * 16 + instr('0123456789ABCDEF', x[2]) - 17 AS UBIGINT)) AS raw FROM d),
+c AS (
+    SELECT doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), raw),
+        lambda a, x: xor(a >> 8, crc.t[CAST(xor(a & 255, x) AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS text_crc32 FROM b, crc),
+r AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST(before * 8 // total AS INTEGER) AS shard FROM r)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_pii(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
@@ -194,6 +213,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring_dedup": OP1_SQL,
         "op2_topk_search": OP2_SQL,
+        "op5_byte_shards": OP5_SQL,
         "op7_near_dedup": OP7_SQL,
         "op10_quotations": OP10_SQL,
     }
