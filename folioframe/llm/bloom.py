@@ -1,4 +1,4 @@
-"""A Bloom filter of bounded size: lets a join move few more rows of its wide side than it needs."""
+"""A Bloom filter of bounded size: lets a join work on and move few more rows of its wide side than it needs."""
 
 from __future__ import annotations
 
@@ -27,21 +27,19 @@ class Bloom:
             found[r["chunk"] * _CHUNK : (r["chunk"] + 1) * _CHUNK] = np.frombuffer(r["words"], dtype=np.int64)
         self.words = keys.sparkSession.sparkContext.broadcast(found)
 
-    def kept(self, rows: DataFrame, hashed: Column) -> DataFrame:
-        """The rows whose hash the filter may hold."""
+    def test(self):
+        """A function for workers: which of these hashes (an Arrow column) the filter may hold."""
         words, mask = self.words, np.uint64(self.bits - 1)
 
-        def work(batches):
-            for batch in batches:
-                h = batch.column(batch.num_columns - 1).to_numpy().view(np.uint64)
-                ok = np.ones(len(h), dtype=bool)
-                for s in SHIFTS:
-                    at = (h >> np.uint64(s)) & mask
-                    ok &= (words.value.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-                if ok.any():
-                    yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(ok))
-
-        return rows.withColumn("_h", hashed).mapInArrow(work, rows.schema)
+        def test(hashes) -> np.ndarray:
+            h = hashes.to_numpy().view(np.uint64)
+            ok = np.ones(len(h), dtype=bool)
+            for s in SHIFTS:
+                at = (h >> np.uint64(s)) & mask
+                ok &= (words.value.view(np.uint64)[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+            return ok
+
+        return test
 
 
 def _pack(key, table):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.words import PUNCTUATION, Words, gram_hashes, gram_starts
+from folioframe.llm.words import PUNCTUATION, Words, gram_hashes, gram_starts, released
 
 #: Bytes of test items that are broadcast at once.
 ITEM_BYTES = 4 << 20
@@ -226,12 +226,12 @@ def contaminated(
     schema = f"id {kind}, item_id long, score long, item_words long, share double, end_word long"
     parts = []
     for items in item_blocks(benchmark, item_col, item_text_col, seed):
-        counts = rows.select("text").mapInArrow(_count(items.vocabulary), "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy("w").collect()
+        counts = rows.select("text").mapInArrow(released(_count(items.vocabulary)), "w long, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy("w").collect()
         found = np.zeros(len(items.vocabulary) + 2, dtype=np.int64)
         for r in counts:
             found[r["w"]] = r["n"]
         items.choose(found[:-2], int(found[-2]), int(found[-1]))
-        parts.append(rows.mapInArrow(_scan(items, least, least_score), schema))
+        parts.append(rows.mapInArrow(released(_scan(items, least, least_score)), schema))
     if not parts:
         parts = [docs.sparkSession.createDataFrame([], schema)]
     out = parts[0]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from folioframe.llm.bloom import Bloom
 from folioframe.llm.graphs import Sets, components
 from folioframe.llm.shared import dropped, heavy_keys, lookup, written
-from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64
+from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64, released
 
 DEPTH, SHINGLE = 4, 5
 #: The most that two sets at the threshold may miss each other in all trees.
@@ -326,16 +326,19 @@ def _confirm(threshold: int):
     return confirm
 
 
-def _grams_of(shingle: int):
-    def grams_of(batches):
+def _sets_of(shingle: int, may_hold):
+    """Full sets of the texts that the filter may hold."""
+
+    def sets_of(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(may_hold(batch.column("h"))))
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 grams, first = shingle_sets(pa.chunked_array([part.column("text")]), shingle)
                 sets = pa.array([grams[a:z].tobytes() for a, z in zip(first[:-1], first[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("family"), part.column("block"), sets], ["node", "family", "block", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("text_hash"), sets], ["id", "text_hash", "grams"])
 
-    return grams_of
+    return sets_of
 
 
 def _families(classes: DataFrame, threshold: int, trees: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -343,9 +346,9 @@ def _families(classes: DataFrame, threshold: int, trees: int) -> tuple[DataFrame
     # 4.5 standard deviations below the threshold, and low bytes that agree by chance
     t, s = trees * DEPTH, threshold / 100
     least = max(DEPTH, math.floor(t * (s - 4.5 * math.sqrt(s * (1 - s) / t))))
-    forest = classes.select("node", "sig").mapInArrow(_plant(trees), "node long, path binary")
+    forest = classes.select("node", "sig").mapInArrow(released(_plant(trees)), "node long, path binary")
     runs = forest.repartitionByRange("path").sortWithinPartitions("path", "node")
-    edges = written(runs.mapInArrow(_gather(least, FULL_RUN), "u long, v long, agree long"))
+    edges = written(runs.mapInArrow(released(_gather(least, FULL_RUN)), "u long, v long, agree long"))
     family = components(edges.select("u", "v")).select(F.col("id").alias("node"), F.col("component").alias("family"))
     agree = edges.groupBy(F.col("u").alias("node")).agg(F.sum("agree").alias("agree"))
     return written(family), agree, edges
@@ -384,7 +387,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     trees = trees_for(threshold)
-    sketch = written(rows.mapInArrow(_sketch(shingle, trees), "id long, text_hash long, n long, h1 long, h2 long, sig binary"))
+    sketch = written(rows.mapInArrow(released(_sketch(shingle, trees)), "id long, text_hash long, n long, h1 long, h2 long, sig binary"))
     known = sketch.filter("n > 0 AND id IS NOT NULL")
     classes = known.groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.first("sig").alias("sig"))
     classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "n", "first.id", "first.text_hash", "sig"))
@@ -392,11 +395,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     family, agree, edges = _families(classes, threshold, trees)
     plan = _plan(family, agree, classes)
-    heavy = heavy_keys(known, "text_hash")
-    # few texts are in a family: the others stay where they are read
-    key = F.xxhash64("id", "text_hash")
-    grams = lookup(Bloom(plan, key).kept(rows, key), plan.select("id", "text_hash", "node", "family", "block"), "text_hash", on=["id", "text_hash"], heavy=heavy)
-    grams = grams.select("node", "family", "block", "text").mapInArrow(_grams_of(shingle), "node long, family long, block string, grams binary")
+    # few texts are in a family: of the others no set is made or moved
+    key, on = F.xxhash64("id", "text_hash"), ["id", "text_hash"]
+    may_hold = Bloom(plan, key).test()
+    placed = plan.select("id", "text_hash", "node", "family", "block")
+
+    def sets_in(part: DataFrame) -> DataFrame:
+        return part.withColumn("h", key).mapInArrow(released(_sets_of(shingle, may_hold)), "id long, text_hash long, grams binary")
+
+    if heavy := heavy_keys(known, "text_hash"):  # a text that many ids have: its few rows in the plan go to it
+        often = F.coalesce(F.col("text_hash").isin(heavy), F.lit(False))
+        grams = sets_in(rows.filter(often)).join(F.broadcast(placed.filter(often)), on).unionByName(sets_in(rows.filter(~often)).join(placed.filter(~often), on))
+    else:
+        grams = sets_in(rows).join(placed, on)
+    grams = grams.select("node", "family", "block", "grams")
     if repeated:
         grams = grams.dropDuplicates(["node"])
     large = plan.filter("blocks > 1")
@@ -436,7 +448,9 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     * rows that share a kept id but not their text all stay: they are one document;
     * which of the rows equal in id and text stays is open where their other columns differ; an empty table gives an empty one.
     """
-    found = written(near_duplicates(docs, id_col, text_col, threshold, shingle).select(F.col(id_col).alias("_id"), "kept"))
+    result = near_duplicates(docs, id_col, text_col, threshold, shingle)
+    found = written(result.select(F.col(id_col).alias("_id"), "kept"))
+    dropped(docs.sparkSession, result)
     gone = found.filter(~F.col("kept")).select("_id").distinct()
     again = found.filter("kept AND _id IS NOT NULL").groupBy("_id").count().filter("count > 1").select("_id")
     kept = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left_anti")

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
+from folioframe.llm.words import released
+
 #: Documents and bytes of text packed together.
 BATCH_DOCS, BATCH_BYTES = 2048, 8 << 20
 
@@ -157,5 +159,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
         raise ValueError("capacity must be a power of two")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    out = rows.mapInArrow(_pack_batches(tokenizer, end_id, capacity, added_tokens), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    out = rows.mapInArrow(released(_pack_batches(tokenizer, end_id, capacity, added_tokens)), f"id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return out.withColumnRenamed("id", id_col)

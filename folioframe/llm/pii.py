@@ -23,7 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.shared import lookup, written
+from folioframe.llm.shared import dropped, lookup, written
+from folioframe.llm.words import released
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -259,14 +260,15 @@ def _mentions(batches):
 
 def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(pattern, kind, score) of the high-confidence patterns of the whole corpus."""
-    mentions = docs.select(F.col(text_col).alias("text")).mapInArrow(_mentions, "kind string, shape string, value string, pattern string")
+    mentions = docs.select(F.col(text_col).alias("text")).mapInArrow(released(_mentions), "kind string, shape string, value string, pattern string")
     # an edge of the graph: a different value in a pattern
     edges = written(mentions.groupBy("pattern", "value", "kind", "shape").agg(F.count("*").alias("n")))
     # patterns that have seeds enough of one kind are all that can end high
     support = edges.filter("kind IS NOT NULL").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     best = support.groupBy("pattern").agg(F.max_by("kind", F.struct("seeds", "kind")).alias("best"), F.max("seeds").alias("seeds")).filter(F.col("seeds") >= PATTERN_SEEDS)
     graph = written(lookup(edges, best, "pattern").select("pattern", "best", "seeds", "value", "kind", "shape"))
-    score = None
+    spark, score = docs.sparkSession, None
+    dropped(spark, edges)
     for _ in range(rounds):
         own = graph.withColumn("instance", F.when(F.col("kind") == F.col("best"), 1.0).when(F.col("kind").isNotNull() | (F.col("shape") != F.col("best")), 0.0))
         if score is None:
@@ -274,7 +276,10 @@ def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
         else:
             doubt = lookup(graph.filter("kind IS NULL"), score, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("value_score"))
             own = lookup(own, doubt, "value", "left").withColumn("instance", F.coalesce("instance", "value_score", F.lit(0.0)))
-        score = written(own.groupBy("pattern", "best", "seeds").agg((F.sum("instance") / (F.count("*") + 0.25)).alias("score")).select("pattern", F.col("best").alias("kind"), "score"))
+        before, score = score, written(own.groupBy("pattern", "best", "seeds").agg((F.sum("instance") / (F.count("*") + 0.25)).alias("score")).select("pattern", F.col("best").alias("kind"), "score"))
+        if before is not None:
+            dropped(spark, before)
+    dropped(spark, graph)
     return score.filter(F.col("score") >= PATTERN_SCORE)
 
 
@@ -318,6 +323,7 @@ def _blocks(docs: DataFrame, text_col: str) -> list:
     for b in range(blocks):
         rows = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == b).select("pattern", "kind").collect() if n else []
         out.append(docs.sparkSession.sparkContext.broadcast({r["pattern"]: r["kind"] for r in rows}))
+    dropped(docs.sparkSession, patterns)
     return out
 
 
@@ -397,7 +403,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.withColumn("learned", F.lit(""))
     for patterns in more:
         rows = rows.mapInArrow(_gather(patterns, 1), rows.schema)
-    return rows.mapInArrow(_find(last), schema).withColumnRenamed("id", id_col)
+    return rows.mapInArrow(released(_find(last)), schema).withColumnRenamed("id", id_col)
 
 
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -412,5 +418,5 @@ def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     narrow = narrow.withColumn("learned", F.lit(""))
     for patterns in more:
         narrow = narrow.mapInArrow(_gather(patterns, at), narrow.schema)
-    out = narrow.mapInArrow(_redact(last, at), schema)
+    out = narrow.mapInArrow(released(_redact(last, at)), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.shared import HEAVY_SHARE, lookup, written
-from folioframe.llm.words import Words
+from folioframe.llm.words import Words, released
 
 #: Labelled documents that the model is fitted on, at most (those with the smallest hash of their id).
 FIT_ROWS = 20_000
@@ -126,7 +126,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x.tolist(), pa.list_(pa.float64())), part.column(2)], ["y", "x", "h"])
 
     # in one order, so that repeated ids and the order of tasks make no other model
-    found = rows.mapInArrow(work, "y double, x array<double>, h long").orderBy("h").limit(2 * fit_rows).collect()
+    found = rows.mapInArrow(released(work), "y double, x array<double>, h long").orderBy("h").limit(2 * fit_rows).collect()
     x = np.array([r["x"] for r in found]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["y"] for r in found]))
 
@@ -154,7 +154,7 @@ def _evidence(model: QualityModel, text_at: int, names: list[str]):
 
 def _with_evidence(df: DataFrame, model: QualityModel, text: str) -> DataFrame:
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema) + ", _llr double"
-    return df.mapInArrow(_evidence(model, df.columns.index(text), df.columns), schema)
+    return df.mapInArrow(released(_evidence(model, df.columns.index(text), df.columns)), schema)
 
 
 def _concentration(sites: DataFrame, mean: Column, total_rate: float | None) -> float:

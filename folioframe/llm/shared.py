@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,13 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def dropped(spark: SparkSession, *frames: DataFrame) -> None:
-    """Remove tables of written() that nothing will read again."""
-    for df in frames:
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/folioframe/" in path:
-                where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    """Remove the tables of written() that these read and nothing will read again; other files are never touched."""
+    plain = lambda path: re.sub(r"^[a-z0-9]+:/+", "/", path)
+    own = f"{plain(shared_dir(spark))}/folioframe/"
+    for path in {f.rsplit("/", 1)[0] for df in frames for f in df.inputFiles()}:
+        if plain(path).startswith(own):
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def heavy_keys(facts: DataFrame, key: str) -> list:

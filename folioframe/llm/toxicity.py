@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.shared import dropped, written
-from folioframe.llm.words import PUNCTUATION, U64, Words, mix64
+from folioframe.llm.words import PUNCTUATION, U64, Words, mix64, released
 
 #: Labelled documents for training and calibration, at most (those with the smallest hash of their id).
 FIT_ROWS = 5_000
@@ -229,7 +229,7 @@ def fit_on_labels(
                     ["id", "y", "words", "language"],
                 )
 
-    hashed = written(rows.mapInArrow(work, "id string, y double, words binary, language int").withColumn("h", F.xxhash64("id", "words")))
+    hashed = written(rows.mapInArrow(released(work), "id string, y double, words binary, language int").withColumn("h", F.xxhash64("id", "words")))
     order = [F.xxhash64("id"), "id", "h"]
     sizes = hashed.select("h", F.octet_length("words").alias("n"), "id").orderBy(*order).limit(2 * fit_rows).collect()
     fits = np.cumsum([r["n"] for r in sizes]) <= FIT_BYTES
@@ -277,5 +277,5 @@ def score_toxicity(
                 ids, first, language = tokens(pa.chunked_array([part.column(1)]))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.scores(ids, first, language).astype(float))], ["id", "score"])
 
-    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(work, f"id {kind}, score double")
+    out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(released(work), f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -8,6 +8,8 @@ string columns at once: the concatenated bytes are hashed with prefix sums modul
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -29,6 +31,22 @@ PUNCTUATION = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
+def released(work):
+    """work(batches) for mapInArrow; at its end the worker, which waits for other tasks, gives free memory back to the system."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not every C library has it
+                pass
+
+    return run
+
+
 def _power_table(base: np.uint64, n: int, inverse: bool = False) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, or those of its inverse; cached, grown by doubling."""
     key = (int(base), inverse)
