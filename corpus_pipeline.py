@@ -22,7 +22,7 @@ from folioframe.llm.near_dedup import without_near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.pii import redact_pii
 from folioframe.llm.quality import keep_good
-from folioframe.llm.shared import written
+from folioframe.llm.shared import dropped, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,5 +70,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        before, docs = docs, written(stage(spark, docs, sf_dir))
+        dropped(spark, before)  # of tables written here; the given ones stay
     return STAGES[-1][1](spark, docs, sf_dir)
