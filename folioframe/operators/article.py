@@ -273,25 +273,36 @@ def merge_refs(xml: Node, d: Doc) -> None:
                 target.add(part)
 
 
+def _numbered(xml: Node, tag: str) -> dict[str, str]:
+    """Ids of the elements of a tag by their number: their label, or what their citation begins with."""
+    ids: dict[str, str] = {}
+    for n in xml.all(tag):
+        label, mixed = n.first("label"), n.first("mixed-citation")
+        text = label.content().strip() if label is not None else (m[0] if mixed is not None and (m := re.match(r"\d+", mixed.content().strip())) else "")
+        if text:
+            ids.setdefault(text, n.get("id") or "")
+    return ids
+
+
 def sup_to_xref(xml: Node, d: Doc) -> None:
-    """Superscript numbers become references if every one is the label of a reference, or else of a footnote."""
+    """Superscript numbers, and references of the type number, point to references if every one of them is the number of one, or else to footnotes."""
+
+    def found(nodes: list[Node]) -> list[tuple[Node, str, str, str]]:
+        texts = {n.content().strip() for n in nodes}
+        numbers = {t for t in texts if t.isdigit()}
+        for tag, kind in (("ref", "bibr"), ("fn", "fn")):
+            ids = _numbered(xml, tag)
+            if numbers and numbers <= set(ids):
+                return [(n, kind, t, ids[t]) for n in nodes if (t := n.content().strip()) in numbers]
+        return []
+
     sups = [s for s in xml.all("sup") if s.content().strip().isdigit() and not s.first("xref") and s.parent.tag != "xref"]
-    if not sups:
-        return
-    wanted = {s.content().strip() for s in sups}
-    for tag, kind in (("ref", "bibr"), ("fn", "fn")):
-        labels = {}
-        for n in xml.all(tag):
-            label, mixed = n.first("label"), n.first("mixed-citation")
-            text = label.content().strip() if label is not None else (m[0] if mixed is not None and (m := re.match(r"\d+", mixed.content().strip())) else "")
-            if text:
-                labels.setdefault(text, n.get("id") or "")
-        if wanted <= set(labels):
-            for s in sups:
-                number = s.content().strip()
-                s.children, s.text = [], ""
-                s.sub("xref", number, ref_type=kind, rid=labels[number])
-            return
+    for s, kind, number, rid in found(sups):
+        s.children, s.text = [], ""
+        s.sub("xref", number, ref_type=kind, rid=rid)
+    for x, kind, _, rid in found(xml.all("xref", where=lambda n: n.get("ref-type") == "number")):
+        if rid:
+            x.attrs |= {"ref-type": kind, "rid": rid}
 
 
 def acknowledgements(xml: Node, d: Doc) -> None:

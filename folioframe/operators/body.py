@@ -12,11 +12,12 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from folioframe.functions import pattern_tables as T
+from folioframe.functions import text as tx
 from folioframe.functions.patterns import IDS, LABELS, py_analyze_xref, py_element_of, py_element_type, py_section_type, py_title_parent
 from folioframe.operators.trees import Node, element, parse, write
 
@@ -280,31 +281,31 @@ def open_paragraphs(xml: Node) -> None:
             n.add(after)
 
 
+# Tags that end a group of loose content, and tags that begin one by themselves.
+_ENDS_GROUP = ("sec", "ref-list", "ack", "fn-group", "title")
+_BEGINS_GROUP = ("table", "list", "disp-quote")
+
+
 def group_loose(root: Node, stop: str) -> None:
-    """Loose children go into elements of the tag ``stop``; a heading starts a new one."""
+    """Loose children go into elements of the tag ``stop``: into the one before them, or into a new one where none is open."""
     if not any(c.tag == stop or c.first(stop) for c in root.children):
         return
-    lead = root.text
-    root.text, group = "", None
+    lead, open_ = root.text, None
+    root.text = ""
     for c in list(root.children):
-        if c.tag in ("sec", "ref-list", "ack", "fn-group", "title"):
-            group = None
-        elif c.tag == stop:
-            group = c
-            if not c.children and not c.text.strip():
+        if c.tag in _ENDS_GROUP:
+            open_ = None
+            continue
+        begins = c.tag in _BEGINS_GROUP or c.tag == "bold" and not c.tail.strip()
+        if c.tag == stop or not begins and c.first(stop):  # a group already, or what holds one
+            if c.tag == stop and not c.children and not c.text.strip():
                 c.text, c.tail = c.text + c.tail, ""
-        elif c.tag == "bold" and not c.tail.strip() or c.tag in ("table", "list", "disp-quote"):
-            group = Node(stop)
-            c.put_before(group)
-            group.add(c)
-        elif c.first(stop):
-            c.tag, group = stop, c
-        else:
-            if group is None:
-                group = Node(stop)
-                c.put_before(group)
-            if c is not group:
-                group.add(c)
+            c.tag, open_ = stop, c
+            continue
+        if begins or open_ is None:
+            open_ = Node(stop)
+            c.put_before(open_)
+        open_.add(c)
     if lead.strip():
         root.add(Node(stop, text=lead), 0)
 
@@ -704,22 +705,31 @@ ERROR = StructType([StructField(c, StringType()) for c in ("action", "type", "me
 RESULT = StructType([StructField("xml", StringType()), StructField("steps", ArrayType(StringType())), StructField("errors", ArrayType(ERROR))])
 
 
-def convert_body(parts: Column, acronym: Column | None = None, files: dict[str, str] | None = None, snapshots: bool = False) -> Column:
+def convert_body(parts: Column, acronym: Column | None = None, files: dict[str, str] | Column | None = None, snapshots: bool = False) -> Column:
     """(xml, steps, errors) of parts as JSON: before, references (text, reference_index), after, translations by language.
 
-    ``files`` holds local HTML files by name, as many as one journal issue has; null parts give null.
+    ``files`` holds local HTML files by name: a few that all rows share, or a map Column with each row's own (see embedded_files()); null parts give null.
     """
+    shared = files if isinstance(files, dict) else None
 
     @F.pandas_udf(RESULT)
-    def work(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, acronyms in batches:
+    def work(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, acronyms, held in batches:
             rows = []
-            for text, own in zip(texts, acronyms, strict=True):
+            for text, own, found in zip(texts, acronyms, held, strict=True):
                 if text is None:
                     rows.append({"xml": None, "steps": None, "errors": None})
                     continue
-                xml, steps, errors = convert(json.loads(text), Context(own, files=files), snapshots)
+                xml, steps, errors = convert(json.loads(text), Context(own, files=json.loads(found) if found else shared), snapshots)
                 rows.append({"xml": write(xml), "steps": steps, "errors": errors})
             yield pd.DataFrame(rows, columns=["xml", "steps", "errors"])
 
-    return work(parts, F.lit(None).cast("string") if acronym is None else acronym)
+    own_files = F.to_json(files) if isinstance(files, Column) else F.lit(None).cast("string")
+    return work(parts, F.lit(None).cast("string") if acronym is None else acronym, own_files)
+
+
+def embedded_files(closure: DataFrame, pages: DataFrame) -> DataFrame:
+    """(page, files): for each page the local pages that it reaches, from the pairs (page, embedded) and the contents (page, html), by file name."""
+    named = pages.select(F.col("page").alias("embedded"), tx.base_name(F.col("page")).alias("name"), "html").filter("html IS NOT NULL")
+    met = closure.select("page", "embedded").join(named, "embedded").groupBy("page", "name").agg(F.min("html").alias("html"))
+    return met.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("name", "html"))).alias("files"))

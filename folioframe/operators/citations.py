@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from folioframe.operators.trees import Node, clean, element, write
+from folioframe.operators.trees import Node, clean, element, mixed_citation, write
 
 XLINK = "xlink:href"
 
@@ -234,3 +234,10 @@ def as_json(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
 def with_ref_xml(cited: DataFrame) -> DataFrame:
     """Adds ``ref_xml`` to entities.citations()."""
     return cited.withColumn("ref_xml", ref_xml(as_json(cited, ("c_record", "path", "grp"))))
+
+
+@F.pandas_udf(StringType())
+def mixed_citations(paragraphs: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Mixed citations, as XML, of the paragraphs of references."""
+    for s in paragraphs:
+        yield s.map(lambda x: None if x is None or (node := mixed_citation(x)) is None else write(node))

@@ -221,3 +221,14 @@ def element(tag: str, html: str | None, drop: tuple[str, ...] = ("b", "bold", "s
     for n in node.all(*drop):
         n.unwrap()
     return node
+
+
+def mixed_citation(html: str | None) -> Node | None:
+    """The first paragraph of a reference as its mixed citation; null if it has none."""
+    p = parse(html or "").first("p")
+    if p is None:
+        return None
+    node = Node("mixed-citation", text=p.text)
+    for c in list(p.children):
+        node.add(c)
+    return node

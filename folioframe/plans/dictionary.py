@@ -80,3 +80,18 @@ def save_dictionary(fields: DataFrame, path: str) -> None:
 def field_order(fields: DataFrame, record: str) -> DataFrame:
     """Field names of a record type ordered by tag."""
     return fields.filter(F.col("record") == record).orderBy("tag", "first").select("field_name", "tag")
+
+
+def main(args: list[str] | None = None) -> None:
+    """``python -m folioframe.plans.dictionary table.csv folder``: a dictionary as JSON lines."""
+    import argparse
+
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("csv")
+    parser.add_argument("folder")
+    found = parser.parse_args(args)
+    save_dictionary(group_fields(read_dictionary(SparkSession.builder.getOrCreate(), found.csv)), found.folder)
+
+
+if __name__ == "__main__":
+    main()

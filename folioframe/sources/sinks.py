@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
 import zipfile
 from collections.abc import Iterable
+from datetime import UTC, datetime
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,3 +37,21 @@ def zip_files(files: Iterable[str | Path], target: str | Path) -> Path:
         for f in files:
             archive.write(f, Path(f).name)
     return target
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Removes a folder of any store that Spark reaches; false if there was none."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def dated_name(now: datetime | None = None) -> str:
+    """A folder name of the time (UTC), without colons."""
+    return (now or datetime.now(UTC).replace(tzinfo=None)).isoformat().replace(":", "")
+
+
+def temporary_file(name: str, content: str | bytes = b"") -> Path:
+    """A new file of that name in a folder of its own, on the machine that asks for it."""
+    path = Path(tempfile.mkdtemp()) / name
+    path.write_bytes(content.encode("utf-8") if isinstance(content, str) else content)
+    return path

@@ -254,3 +254,16 @@ def test_zip_contents_and_alternative_assets(spark, tmp_path):
         p.parent.mkdir(parents=True, exist_ok=True)
         p.write_bytes(b"x")
     assert {r.name for r in files.alternative_assets(spark, str(tmp_path / "site"), "aa", "v1").collect()} == {"f.gif", "g.gif"}
+
+
+def test_small_sinks(spark, tmp_path):
+    from datetime import datetime
+
+    assert sinks.dated_name(datetime(2021, 8, 11, 17, 54, 50, 556715)) == "2021-08-11T175450.556715"
+    made = sinks.temporary_file("x.txt", "é")
+    assert made.name == "x.txt" and made.read_text("utf-8") == "é"
+    (tmp_path / "f/g").mkdir(parents=True)
+    assert sinks.delete_folder(spark, str(tmp_path / "f")) and not (tmp_path / "f").exists() and not sinks.delete_folder(spark, str(tmp_path / "f"))
+    (tmp_path / "d.csv").write_text("h,12,_,text,,,titles,Titles,x\n")
+    dictionary.main([str(tmp_path / "d.csv"), str(tmp_path / "out")])
+    assert spark.read.json(str(tmp_path / "out")).first().field_name == "titles"

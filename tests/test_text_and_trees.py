@@ -181,3 +181,60 @@ def test_a_detector_decides_the_language(spark):
     d = {"original_language": "en", "document_type": "oa", "article_titles": [{"language": "en", "text": "Titre"}], "original_title": "Titre"}
     xml = lambda detector: spark.createDataFrame([(json.dumps(d),)], "d string").select(article.article_xml(F.col("d"), detector)["xml"]).first()[0]
     assert 'xml:lang="fr"' in xml(lambda text: "fr" if "Titre" in text else None) and 'xml:lang="fr"' not in xml(None)
+
+
+def test_numbers_point_to_references_or_footnotes():
+    def xml(refs, fns, inside):
+        root = Node("article")
+        back = root.sub("back")
+        for tag, labels in (("ref", refs), ("fn", fns)):
+            for n in labels:
+                back.sub(tag, id=f"{tag}{n}").sub("label", n)
+        p = root.sub("body").sub("p")
+        for tag, text in inside:
+            p.sub(tag, text, **({"ref_type": "number"} if tag == "xref" else {}))
+        article.sup_to_xref(root, {})
+        return [(x.get("ref-type"), x.get("rid"), x.content()) for x in root.all("xref")]
+
+    assert xml("12", "", [("sup", "1"), ("sup", "2")]) == [("bibr", "ref1", "1"), ("bibr", "ref2", "2")]
+    assert xml("1", "12", [("sup", "1"), ("sup", "2")]) == [("fn", "fn1", "1"), ("fn", "fn2", "2")]
+    assert xml("12", "", [("xref", "2"), ("xref", "x")]) == [("bibr", "ref2", "2"), ("number", None, "x")]
+    assert xml("1", "123", [("xref", "1"), ("xref", "3")]) == [("fn", "fn1", "1"), ("fn", "fn3", "3")]
+    assert xml("1", "", [("xref", "7"), ("sup", "8")]) == [("number", None, "7")]
+
+
+def test_loose_content_is_grouped():
+    def grouped(html, stop="p"):
+        root = parse(html)
+        body.group_loose(root, stop)
+        return write(root)[len("<root>") : -len("</root>")]
+
+    cases = {
+        "lead <i>a</i>b<p>one</p>tail <i>x</i><title>T</title><i>y</i>": None,
+        "<p>one</p><table/><i>x</i>": "<p>one</p><p><table/><i>x</i></p>",
+        "<p>one</p><i>x</i><bold>B</bold><i>y</i>": "<p>one<i>x</i></p><p><bold>B</bold><i>y</i></p>",
+        "<span><p>in</p></span><i>x</i>": "<p><p>in</p><i>x</i></p>",
+        "<i>none</i>": "<i>none</i>",
+    }
+    for html, wanted in cases.items():
+        if wanted:
+            assert grouped(html).replace("<table></table>", "<table/>") == wanted, html
+    first = parse("lead <i>a</i><p>one</p>")
+    body.group_loose(first, "p")
+    assert first.text == "" and [c.tag for c in first.children] == ["p", "p", "p"] and first.children[0].text.strip() == "lead"
+
+
+def test_embedded_files_come_from_a_table(spark):
+    from folioframe.sources import files as sources
+
+    pages = spark.createDataFrame([("/aa/a.htm", '<p>A <a href="/aa/b.htm">to b</a></p>'), ("/aa/b.htm", '<p>B <a href="/aa/c.htm">to c</a></p>'), ("/aa/c.htm", "<p>C</p>"), ("/aa/d.htm", "<p>D</p>")], "page string, html string")
+    closure = sources.embedding_closure(spark.createDataFrame([("/aa/a.htm", "/aa/b.htm"), ("/aa/b.htm", "/aa/c.htm")], "page string, linked string"))
+    rows = pages.join(body.embedded_files(closure, pages), "page", "left")
+    made = rows.select("page", body.convert_body(F.to_json(F.struct(F.col("html").alias("before"))), F.lit("aa"), F.col("files"))["xml"].alias("xml")).collect()
+    xml = {r.page: r.xml for r in made}
+    assert all(x in xml["/aa/a.htm"] for x in ("A ", "B ", "C")) and "C" in xml["/aa/b.htm"] and "A " not in xml["/aa/b.htm"] and "D" in xml["/aa/d.htm"]
+
+
+def test_mixed_citations(spark):
+    df = spark.createDataFrame([("<body><p>One <i>two</i></p><p>three</p></body>",), ("no paragraph",), (None,)], "t string")
+    assert [r.x for r in df.select(citations.mixed_citations("t").alias("x")).collect()] == ["<mixed-citation>One <i>two</i></mixed-citation>", None, None]
