@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from folioframe.llm.bloom import Bloom
 from folioframe.llm.graphs import Sets, components
-from folioframe.llm.shared import dropped, heavy_keys, lookup, written
+from folioframe.llm.shared import bounded, dropped, heavy_keys, lookup, without_ids, written
 from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64, released
 
 DEPTH, SHINGLE = 4, 5
@@ -38,8 +38,6 @@ FULL_RUN, NEIGHBOURS, HUBS = 256, 4, 8
 #: Shingles, and sets, of a family or block that one task holds at once.
 BLOCK_SHINGLES, BLOCK_SETS = 200_000, 512
 FAMILY_HUBS = 32
-#: So many ids, 8 bytes each, are broadcast.
-FEW = 1_000_000
 
 
 def trees_for(threshold: int) -> int:
@@ -449,17 +447,15 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     * which of the rows equal in id and text stays is open where their other columns differ; an empty table gives an empty one.
     """
     result = near_duplicates(docs, id_col, text_col, threshold, shingle)
-    found = written(result.select(F.col(id_col).alias("_id"), "kept"))
+    found = written(result.select(id_col, "kept"))
     dropped(docs.sparkSession, result)
-    gone = found.filter(~F.col("kept")).select("_id").distinct()
-    again = found.filter("kept AND _id IS NOT NULL").groupBy("_id").count().filter("count > 1").select("_id")
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left_anti")
+    kept = without_ids(docs, found.filter(~F.col("kept")), id_col)
+    again = found.filter(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_again"))
     if again.isEmpty():
         return kept
-    again = written(again)
-    same = kept[id_col].cast("long") == again["_id"]
-    if again.count() <= FEW:  # copies are then put together where they are read, before anything moves
-        again = F.broadcast(again)
+    again = bounded(again)
+    same = kept[id_col] == again["_again"]
+    # copies are put together where they are read, before they move
     one = kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
     return kept.join(again, same, "left_anti").unionByName(one)
 

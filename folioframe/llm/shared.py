@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: So many ids, 8 bytes each, are broadcast (some 100 MB as a hash table).
+FEW = 2_000_000
 #: A key with more than this share of the rows is looked up in a broadcast table, which
 #: so has at most the reciprocal number of rows.
 HEAVY_SHARE = 1 / 500
@@ -43,6 +45,18 @@ def dropped(spark: SparkSession, *frames: DataFrame) -> None:
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bounded(ids: DataFrame) -> DataFrame:
+    """Distinct ids, to join with: broadcast if they are at most FEW, else left to a shuffle."""
+    ids = written(ids.distinct())
+    return F.broadcast(ids) if ids.count() <= FEW else ids
+
+
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """docs but for the rows whose id is in gone (a column of that name); null ids stay. Texts move only if more than FEW ids go."""
+    gone = bounded(gone.select(F.col(id_col).alias("_gone")))
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+
+
 def heavy_keys(facts: DataFrame, key: str) -> list:
     """The keys with more than HEAVY_SHARE of the rows, at most 1 / HEAVY_SHARE of them."""
     n = facts.count()

@@ -37,3 +37,15 @@ def test_only_own_tables_are_dropped(spark, tmp_path):
     except Exception:  # noqa: BLE001  the folder is no more
         gone = True
     assert gone
+
+
+def test_ids_go_with_and_without_a_broadcast(spark, monkeypatch):
+    from folioframe.llm import shared
+
+    docs = spark.createDataFrame([(i % 7 if i % 5 else None, i) for i in range(70)], "doc_id long, n int")
+    gone = spark.createDataFrame([(3,), (3,), (5,), (None,)], "doc_id long")
+    for few in (2_000_000, 0):
+        monkeypatch.setattr(shared, "FEW", few)
+        left = shared.without_ids(docs, gone, "doc_id")
+        assert sorted(r.n for r in left.collect()) == [i for i in range(70) if not i % 5 or i % 7 not in (3, 5)]
+        assert ("BroadcastHashJoin" in left._jdf.queryExecution().executedPlan().toString()) >= (few > 0)
