@@ -22,7 +22,7 @@ from folioframe.llm.near_dedup import without_near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.pii import redact_pii
 from folioframe.llm.quality import keep_good
-from folioframe.llm.shared import dropped, written
+from folioframe.llm.shared import dropped, without_ids, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of the benchmark go."""
     gone = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id")
-    return _without(docs, gone)
+    return without_ids(docs, gone, "doc_id").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +51,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True)
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the ids in gone; a null id stays."""
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
-
-
 STAGES = [
     ("quality", quality),
     ("near_dedup", near_dedup),
