@@ -3,8 +3,9 @@
 Words (without case and punctuation) and their beginnings of a few lengths are hashed to embeddings, which add
 up, so that an unseen inflection is still told by its stem; filters of several widths slide over the whole text, each
 filter's maximum over the text is pooled, and a logistic layer weighs the maxima. The model is trained here, on a
-bounded sample of labelled documents. One embedding dimension for each kind of hash starts as its association with the
-label, shrunk for rare ones; everything is then trained together.
+bounded sample of labelled documents. One embedding dimension and one filter of each width for each kind of hash start as the hash's association with the
+label, shrunk for rare ones: what single words tell. The other dimensions and filters start at random, for what only words in a row tell
+(a test has labels that no single word tells). Everything is then trained together.
 
 Thresholds are calibrated by language on a part of the sample that training does not see. The language is read
 off the text itself (its function words), never from a column; the score is shifted by
@@ -27,10 +28,13 @@ from folioframe.llm.words import PUNCTUATION, U64, Words, mix64, released
 FIT_ROWS = 5_000
 #: Bytes of hashed words of these documents that come to the driver, at most (about 13 million words): those that come first by hash.
 FIT_BYTES = 256 << 20
-BUCKETS, DIM, WIDTHS, FILTERS = 1 << 18, 8, (1, 2, 3), 6
+BUCKETS, WIDTHS = 1 << 18, (1, 2, 3)
 #: Bytes of the beginnings that are hashed beside the whole word.
 PREFIXES = (4, 5, 6, 7)
 KINDS = 1 + len(PREFIXES)
+#: Dimensions and filters for phrases, beside one of each kind of hash for words.
+FREE, PHRASES = 8, 6
+DIM, FILTERS = KINDS + FREE, KINDS + PHRASES
 #: Function words by which a text's language is told.
 FUNCTION_WORDS = {
     "en": "the of and to in is that was with for it as at by from are this",
@@ -129,18 +133,27 @@ def _association(ids: np.ndarray, first: np.ndarray, y: np.ndarray) -> np.ndarra
 def train(ids: np.ndarray, first: np.ndarray, y: np.ndarray, epochs: int = 4, rate: float = 0.05, seed: int = 11) -> ToxicityModel:
     """Adagrad over mini-batches of 64 documents; the gradient reaches the positions of the maxima."""
     rng = np.random.default_rng(seed)
-    embedding = (0.05 * rng.standard_normal((BUCKETS, DIM))).astype(np.float32)
-    kernels = [(0.1 * rng.standard_normal((w, DIM, FILTERS))).astype(np.float32) for w in WIDTHS]
+    embedding = np.zeros((BUCKETS, DIM), dtype=np.float32)
+    embedding[:, KINDS:] = (rng.standard_normal((BUCKETS, FREE)) / KINDS**0.5).astype(np.float32)
+    kernels = [np.zeros((w, DIM, FILTERS), dtype=np.float32) for w in WIDTHS]
+    out = np.full((len(WIDTHS), FILTERS), 0.1, dtype=np.float32)
+    for k, o in zip(kernels, out, strict=True):
+        k[:, KINDS:, KINDS:] = rng.standard_normal((len(k), FREE, PHRASES)) / (FREE * len(k)) ** 0.5
+        o[KINDS:] *= np.where(np.arange(PHRASES) % 2, -1, 1)
     base = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-    model = ToxicityModel(embedding, kernels, np.full(len(WIDTHS) * FILTERS, 0.1, dtype=np.float32), base)
+    model = ToxicityModel(embedding, kernels, out.ravel(), base)
     if not len(y) or len(set(y.tolist())) < 2:
+        model.out[:] = 0  # nothing to learn: the base rate for all
         return model
     for kind in range(KINDS):
         embedding[:, kind] += _association(ids[:, kind], first, y)
         for k in kernels:
-            k[0, kind, kind % FILTERS] = 1.0
+            k[0, kind, kind] = 1.0
     squares = [np.full(k.shape, 1e-2, dtype=np.float32) for k in kernels]
+    for q in squares:
+        q[:, :, KINDS:] = 1e-4
     e_square = np.full(embedding.shape, 1e-2, dtype=np.float32)
+    e_square[:, KINDS:] = 1e-4
     o_square, b_square = np.full(len(model.out), 1e-2, dtype=np.float32), 1e-2
     for _ in range(epochs):
         order = rng.permutation(len(y))
@@ -264,7 +277,7 @@ def score_toxicity(
     * very long texts are scored whole; other columns are never read; an empty table gives an empty table.
     """
     model = fit_on_labels(docs, labels, id_col, text_col, label_col, eligible, fit_rows)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 8 MB, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 14 MB, whatever the input
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batches):

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from folioframe.llm import quality, toxicity
 from folioframe.llm.quality import keep_good, score_quality
@@ -103,3 +104,32 @@ def test_thresholds_are_calibrated_by_language():
     y = (z > np.where(np.arange(400) < 200, 0, 2)).astype(float)
     toxicity.calibrate(model, z, y, np.repeat([0, 1], 200))
     assert model.thresholds[0] < model.thresholds[1]
+
+
+def test_phrases_are_learned_that_no_word_tells():
+    """Both words are as frequent in clean documents, but there never in a row: a lexicon can't tell, the trained filters do."""
+    rng = random.Random(3)
+
+    def make(n):
+        texts, y = [], []
+        for i in range(n):
+            words, toxic = [f"w{rng.randrange(300)}" for _ in range(40)], i % 3 == 0
+            a, b = rng.sample(range(0, 38, 2), 2)
+            words[a], words[a + 1 if toxic else b] = "bad", "thing"
+            texts.append(" ".join(words))
+            y.append(float(toxic))
+        return toxicity.tokens(pa.chunked_array([pa.array(texts, pa.large_string())])), np.array(y)
+
+    (ids, first, _), y = make(2000)
+    (held, held_first, _), wanted = make(600)
+    order = lambda model: np.argsort(np.argsort(model.logits(held, held_first)))
+    auc = lambda rank: (rank[wanted == 1].mean() - (wanted.sum() - 1) / 2) / (wanted == 0).sum()
+    assert auc(order(toxicity.train(ids, first, y))) > 0.95
+    assert abs(auc(order(toxicity.train(ids, first, y, epochs=0))) - 0.5) < 0.1
+
+
+def test_without_both_labels_all_scores_are_the_base_rate(spark):
+    docs = table(spark, difficult())
+    for labels, low, high in (([], 0.4, 0.6), ([(3 * i, 1, 1) for i in range(20)], 0.9, 1), ([(3 * i, 1, 0) for i in range(20)], 0, 0.1)):
+        scores = {round(r.score, 9) for r in score_toxicity(docs, spark.createDataFrame(labels, LABELS)).collect()}
+        assert len(scores) == 1 and low <= scores.pop() <= high
