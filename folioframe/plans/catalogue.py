@@ -306,13 +306,13 @@ def author_aff_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of an order as authors of a document, their suppliers as its affiliations."""
     line, s = _table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "supplier")
     text = lambda c: F.col(c).cast("string")
-    authors = line.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.struct("l_linenumber", "l_suppkey", "l_partkey"))).alias("lines"))
-    author = F.transform("lines", lambda x: F.create_map(F.lit("xref"), x["l_suppkey"].cast("string"), F.lit("surname"), x["l_partkey"].cast("string")))
-    aff = F.create_map(F.lit("id"), text("s_suppkey"), F.lit("orgname"), F.col("s_name"), F.lit("country"), text("s_nationkey"))
-    affs = line.join(s, line["l_suppkey"] == s["s_suppkey"]).groupBy("l_orderkey").agg(F.collect_set(F.to_json(aff)).alias("affs"))
-    docs = authors.join(affs, "l_orderkey").select(
-        F.lit("").alias("path"), F.col("l_orderkey").alias("grp"), text("l_orderkey").alias("pid"), author.alias("authors"),
-        F.transform("affs", lambda x: F.from_json(x, "map<string,string>")).alias("affiliations"),
+    author = F.struct("l_linenumber", "l_suppkey", "l_partkey")
+    met = line.join(s, line["l_suppkey"] == s["s_suppkey"])
+    both = met.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(author)).alias("lines"), F.collect_set(F.struct("s_suppkey", "s_name", "s_nationkey")).alias("affs"))
+    docs = both.select(
+        F.lit("").alias("path"), F.col("l_orderkey").alias("grp"), text("l_orderkey").alias("pid"),
+        F.transform("lines", lambda x: F.create_map(F.lit("xref"), x["l_suppkey"].cast("string"), F.lit("surname"), x["l_partkey"].cast("string"))).alias("authors"),
+        F.transform("affs", lambda x: F.create_map(F.lit("id"), x["s_suppkey"].cast("string"), F.lit("orgname"), x["s_name"], F.lit("country"), x["s_nationkey"].cast("string"))).alias("affiliations"),
     )
     met = entities.authors_with_affiliations(docs)
     return met.select(
