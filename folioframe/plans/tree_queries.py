@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.functions.columns import spread
-from folioframe.operators import article, body, citations
+from folioframe.operators import article, body, citations, entities
 from folioframe.plans.catalogue import _pages, _table, query
+from folioframe.plans.entity_queries import _documents
 
 # Markup that each page is given after its own: two headings, emphasis, an image, a table, a list, a link.
 _MORE = (
@@ -173,3 +174,39 @@ def references_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         cited = F.when(key % 6 == i, F.to_json(c)).otherwise(cited)
     made = _table(spark, sf_dir, "part").select(key.alias("key"), cited.alias("c"))
     return made.select("key", citations.ref_xml("c").alias("xml")).select("key", F.md5("xml").alias("md5"))
+
+
+# ---- whole articles ----------------------------------------------------------------------------
+
+
+def _between(xml: Column, tag: str) -> Column:
+    return F.regexp_extract(xml, rf"<{tag}(?: [^>]*)?>([^<]*)</{tag}>", 1)
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS key, CAST(p_partkey AS VARCHAR) AS k, lpad(CAST(p_partkey % 50 AS VARCHAR), 9, '0') AS issn FROM part)
+SELECT key, 'Journal ' || issn AS journal_title, 'title ' || k AS article_title, 'Silva' || k AS surname, CAST(1 AS BIGINT) AS n_refs, '2' AS ref_count, '701-' || k AS ref_label, 'journal ' || k AS ref_source,
+    'http://l/' || k AS license, 'Body of ' || k AS body, '7' AS volume, '10.1/' || k AS doi, CAST(0 AS BIGINT) AS n_errors FROM p
+""")
+def assembled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as documents, joined to fifty journals, to their citations, bodies and licenses: what of each comes through into the article."""
+    groups = _documents(spark, sf_dir)
+    issn = F.lpad((F.col("grp") % 50).cast("string"), 9, "0")
+    pid = F.concat(F.lit("S"), issn, F.lit("20190001"), F.lpad(F.col("grp").cast("string"), 5, "0"))
+    docs = entities.documents(groups.withColumn("pid", pid)).withColumn("doi", F.concat(F.lit("10.1/"), F.col("grp").cast("string")))
+    journals = spark.range(50).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("i"))
+    one = lambda v: F.array(F.create_map(F.lit("_"), v))
+    journals = entities.journals(journals.select(F.create_map(F.lit("v400"), one(F.col("i")), F.lit("v100"), one(F.concat(F.lit("Journal "), "i"))).alias("record")))
+    key = F.col("grp").cast("string")
+    before = F.concat(F.lit("<p>Body of "), key, F.lit("</p>")).alias("before")
+    refs = F.array(F.struct(F.concat(F.lit("<p>Reference "), key, F.lit("</p>")).alias("text"), F.concat(F.lit("701-"), key).alias("reference_index"))).alias("references")
+    bodies = docs.select("pid", body.convert_body(F.to_json(F.struct(before, refs)))["xml"].alias("xml_body"))
+    licenses = docs.select("pid", F.lit("en").alias("language"), F.concat(F.lit("http://l/"), key).alias("url"), F.lit("open").alias("text"))
+    made = article.assemble_articles(docs, journals, entities.citations(docs), bodies, licenses)
+    xml = F.col("xml")
+    return made.select(
+        F.substring("pid", 19, 5).cast("long").alias("key"), _between(xml, "journal-title").alias("journal_title"), _between(xml, "article-title").alias("article_title"), _between(xml, "surname").alias("surname"),
+        F.regexp_count(xml, F.lit("<ref id=")).cast("long").alias("n_refs"), F.regexp_extract(xml, 'ref-count count="([0-9]*)"', 1).alias("ref_count"), F.regexp_extract(xml, '<ref id="B([^"]*)"', 1).alias("ref_label"),
+        _between(xml, "source").alias("ref_source"), F.regexp_extract(xml, 'license-type="open-access" xlink:href="([^"]*)"', 1).alias("license"), F.regexp_extract(xml, "<p>(Body of [^<]*)</p>", 1).alias("body"),
+        _between(xml, "volume").alias("volume"), F.regexp_extract(xml, '<article-id pub-id-type="doi">([^<]*)<', 1).alias("doi"), F.size("errors").cast("long").alias("n_errors"),
+    )
