@@ -214,11 +214,11 @@ def keyword_groups(keywords: Column) -> Column:
 
 
 def authors_with_affiliations(docs: DataFrame) -> DataFrame:
-    """(pid, n, author, affiliation): authors joined to the affiliations they refer to."""
-    authors = docs.select("path", "grp", "pid", F.posexplode("authors").alias("n", "author"))
-    authors = authors.select("*", F.explode(F.split(F.coalesce(_get("author", "xref"), F.lit("")), " ")).alias("rid")).filter("rid <> ''")
-    affs = docs.select("path", "grp", F.explode("affiliations").alias("affiliation")).withColumn("rid", _get("affiliation", "id"))
-    return authors.join(affs, ["path", "grp", "rid"]).select("pid", "n", "author", "affiliation")
+    """(pid, n, author, affiliation): authors with the affiliations of their document that they refer to; nothing moves for it."""
+    authors = docs.select("pid", "affiliations", F.posexplode("authors").alias("n", "author"))
+    rids = F.filter(F.split(F.coalesce(_get("author", "xref"), F.lit("")), " "), lambda r: r != "")
+    met = F.flatten(F.transform(rids, lambda r: F.filter("affiliations", lambda a: _get(a, "id") == r)))
+    return authors.select("pid", "n", "author", F.explode(met).alias("affiliation"))
 
 
 def with_section_titles(docs: DataFrame, by_code: DataFrame) -> DataFrame:

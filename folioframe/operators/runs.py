@@ -42,13 +42,16 @@ def running_totals(df: DataFrame, totals: dict[str, Column], partition: list[str
 def run_length_groups(df: DataFrame, key: str, order: str, partition: list[str] | str = "path", group: str = "grp") -> DataFrame:
     """Adds the number of the run of consecutive rows with equal keys, from 1; a key that comes again starts another run."""
     partition = [partition] if isinstance(partition, str) else list(partition)
-    df = _chunked(df, order)
-    keys = [*partition, "_chunk"]
-    # the last key before a chunk; wrapped, so that a null key is not taken for none
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(F.col(key).alias("k")), order).alias("_last"))
-    ahead = last.select(*keys, F.lag("_last").over(Window.partitionBy(*partition).orderBy("_chunk")).alias("_ahead"))
+    keys, whole = [*partition, "_chunk"], F.struct(F.col(key).alias("k"))  # wrapped, so that a null key is not taken for none
     w = Window.partitionBy(*keys).orderBy(order)
-    before = F.coalesce(F.lag(F.struct(F.col(key).alias("k"))).over(w), F.col("_ahead"))
-    df = _joined(df, ahead, keys).withColumn("_before", before)
-    starts = F.col("_before").isNull() | ~F.col("_before.k").eqNullSafe(F.col(key))
-    return running_totals(df.withColumn("_start", starts).drop("_before", "_ahead", "_chunk"), {group: F.col("_start")}, partition, order).drop("_start")
+    rows = _chunked(df, order).withColumn("_ahead", F.lag(whole).over(w))
+    rows = rows.withColumn("_start", (F.col("_ahead").isNotNull() & ~F.col("_ahead.k").eqNullSafe(F.col(key))).cast("long"))
+    rows = rows.withColumn("_in", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # a chunk's first row starts a run if the chunk before ends with another key
+    chunks = rows.groupBy(*keys).agg(F.sum("_start").alias("n"), F.min_by(whole, order).alias("first"), F.max_by(whole, order).alias("last"))
+    by_chunk = Window.partitionBy(*partition).orderBy("_chunk")
+    chunks = chunks.withColumn("ahead", F.lag("last").over(by_chunk))
+    chunks = chunks.withColumn("n_first", (F.col("ahead").isNull() | ~F.col("ahead.k").eqNullSafe(F.col("first.k"))).cast("long"))
+    until = F.sum(F.col("n") + F.col("n_first")).over(by_chunk.rowsBetween(Window.unboundedPreceding, 0))
+    out = _joined(rows, chunks.select(*keys, (until - F.col("n")).alias("_before")), keys)
+    return out.withColumn(group, F.col("_in") + F.col("_before")).drop("_chunk", "_ahead", "_start", "_in", "_before")
