@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.llm.words import PUNCTUATION, Words, gram_hashes, gram_starts, released
+from folioframe.llm.words import PUNCTUATION, STEP_BYTES, Words, gram_hashes, gram_starts, released
 
 #: Bytes of test items that are broadcast at once.
 ITEM_BYTES = 4 << 20
@@ -127,7 +127,7 @@ def _scan(items: Items, least: float, least_score: int):
     def scan(batches):
         for batch in batches:
             rows = batch.num_rows
-            step = max(1, min(rows, rows * (4 << 20) // max(1, batch.column(1).nbytes)))
+            step = max(1, min(rows, rows * STEP_BYTES // max(1, batch.column(1).nbytes)))
             for at in range(0, rows, step):
                 part = batch.slice(at, step)
                 w = _words(pa.chunked_array([part.column(1)]))
@@ -173,7 +173,7 @@ def _count(vocabulary: np.ndarray):
         total = np.zeros(len(vocabulary) + 2, dtype=np.int64)
         for batch in batches:
             rows = batch.num_rows
-            step = max(1, min(rows, rows * (4 << 20) // max(1, batch.column(0).nbytes)))
+            step = max(1, min(rows, rows * STEP_BYTES // max(1, batch.column(0).nbytes)))
             for at in range(0, rows, step):
                 w = _words(pa.chunked_array([batch.slice(at, step).column(0)]))
                 near = np.minimum(np.searchsorted(vocabulary, w.hash), len(vocabulary) - 1)

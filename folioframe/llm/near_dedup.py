@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from folioframe.llm.bloom import Bloom
 from folioframe.llm.graphs import Sets, components
 from folioframe.llm.shared import bounded, dropped, heavy_keys, lookup, without_ids, written
-from folioframe.llm.words import U64, Words, gram_hashes, gram_starts, mix64, released
+from folioframe.llm.words import STEP_BYTES, U64, Words, gram_hashes, gram_starts, mix64, released
 
 DEPTH, SHINGLE = 4, 5
 #: The most that two sets at the threshold may miss each other in all trees.
@@ -94,7 +94,7 @@ def _sketch(shingle: int, trees: int):
         for batch in batches:
             n_rows = batch.num_rows
             size = max(1, batch.column(2).nbytes)
-            step = max(1, min(n_rows, n_rows * (4 << 20) // size))
+            step = max(1, min(n_rows, n_rows * STEP_BYTES // size))
             for at in range(0, n_rows, step):
                 part = batch.slice(at, step)
                 grams, first = shingle_sets(pa.chunked_array([part.column(2)]), shingle)

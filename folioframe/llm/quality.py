@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.shared import HEAVY_SHARE, lookup, written
-from folioframe.llm.words import Words, released
+from folioframe.llm.words import STEP_BYTES, Words, released
 
 #: Labelled documents that the model is fitted on, at most (those with the smallest hash of their id).
 FIT_ROWS = 20_000
@@ -143,7 +143,7 @@ def _evidence(model: QualityModel, text_at: int, names: list[str]):
     def work(batches):
         for batch in batches:
             rows = batch.num_rows
-            step = max(1, min(rows, rows * (4 << 20) // max(1, batch.column(text_at).nbytes)))
+            step = max(1, min(rows, rows * STEP_BYTES // max(1, batch.column(text_at).nbytes)))
             for at in range(0, rows, step):
                 part = batch.slice(at, step)
                 llr = model.evidence(surface(pa.chunked_array([part.column(text_at)])))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.shared import dropped, written
-from folioframe.llm.words import PUNCTUATION, U64, Words, mix64, released
+from folioframe.llm.words import PUNCTUATION, STEP_BYTES, U64, Words, mix64, released
 
 #: Labelled documents for training and calibration, at most (those with the smallest hash of their id).
 FIT_ROWS = 5_000
@@ -284,7 +284,7 @@ def score_toxicity(
         model = shared.value
         for batch in batches:
             rows = batch.num_rows
-            step = max(1, min(rows, rows * (2 << 20) // max(1, batch.column(1).nbytes)))
+            step = max(1, min(rows, rows * STEP_BYTES // max(1, batch.column(1).nbytes)))
             for at in range(0, rows, step):
                 part = batch.slice(at, step)
                 ids, first, language = tokens(pa.chunked_array([part.column(1)]))

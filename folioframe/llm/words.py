@@ -19,6 +19,8 @@ _GRAM = U64(0xD6E8FEB86659FD93)
 _GRAM2 = U64(0xA0761D6478BD642F)
 #: Bytes hashed at once; bounds the scratch memory of one slice.
 SLICE_BYTES = 1 << 20
+#: Bytes of text of which operators take the words apart at once; scratch memory is some thirty times that.
+STEP_BYTES = 2 << 20
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
