@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.decontaminate import contaminated
+from folioframe.llm.filter_audit import audit_documents
+from folioframe.llm.line_dedup import line_dedup
 from folioframe.llm.near_dedup import near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.pii import find_pii
 from folioframe.llm.quality import score_quality
 from folioframe.llm.quotations import reply_conversations
 from folioframe.llm.sharding import shard_by_bytes
+from folioframe.llm.spelling import count_words, group_variants
 from folioframe.llm.substring_dedup import substring_dedup
 from folioframe.llm.topk_search import top_k
 from folioframe.llm.toxicity import score_toxicity
@@ -194,6 +197,107 @@ LEFT JOIN root ON root.conv_id = m.conv_id AND root.turn = m.turn LEFT JOIN dept
 """
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(count_words(_table(spark, sf_dir, "documents")))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE step AS (
+    SELECT i, CAST(i AS UBIGINT) AS c, 0 AS k FROM range(256) t(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+r AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+o AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hex FROM r GROUP BY doc_id, run),
+b AS (
+    SELECT run, n, list_transform(regexp_extract_all(hex, '..'),
+        lambda x: CAST(instr('0123456789ABCDEF', x[1]) * 16 + instr('0123456789ABCDEF', x[2]) - 17 AS UBIGINT)) AS raw FROM o),
+h AS (
+    SELECT run, n, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), raw),
+        lambda a, x: xor(a >> 8, crc.t[CAST(xor(a & 255, x) AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) AS BIGINT) AS h FROM b, crc),
+s AS (SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM s WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+e AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+d AS (SELECT DISTINCT e.word AS long, w.word AS short FROM e JOIN w ON w.word = e.head || e.tail),
+near AS (
+    SELECT a.word, b.word AS near, b.n FROM e a JOIN e b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+    UNION ALL SELECT long, short, n FROM d JOIN w ON w.word = short
+    UNION ALL SELECT short, long, n FROM d JOIN w ON w.word = long),
+best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+pick AS (SELECT near.word, min(near.near) AS near FROM near JOIN best ON best.word = near.word AND near.n = best.most GROUP BY near.word),
+f AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN pick.near END AS form, CASE WHEN most >= 5 * w.n THEN most END AS form_n
+    FROM w LEFT JOIN best ON best.word = w.word LEFT JOIN pick ON pick.word = w.word),
+up AS (SELECT word, word AS root FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL),
+top AS (SELECT up.word, up.root FROM up JOIN f ON f.word = up.root WHERE f.form IS NULL)
+SELECT f.word, f.form, top.root, f.n, f.n_near, f.form_n FROM f JOIN top ON top.word = f.word
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+first AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+           + 4 * CAST(100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 3 * length(d.text) AS INTEGER)
+           + 8 * CAST(regexp_matches(d.text, '[#$%&*|]') AS INTEGER) + 16 * CAST(coalesce(d.doc_id > first, false) AS INTEGER) AS fails
+    FROM d JOIN first ON first.text = d.text LEFT JOIN l ON l.doc_id = d.doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY part, fails),
+f AS (SELECT i, chr(65 + i) AS name, 1 << i AS bit FROM (SELECT CAST(unnest(range(5)) AS INTEGER) AS i)),
+o AS (
+    SELECT a.name || b.name || c.name || d.name || e.name AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND (a.bit | b.bit | c.bit | d.bit | e.bit) = 31),
+s AS (
+    SELECT filter_order, step, f.bit,
+           (SELECT coalesce(sum(g.bit), 0) FROM f g WHERE instr(substr(filter_order, 1, step - 1), g.name) > 0) AS before
+    FROM (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o) JOIN f ON f.name = substr(filter_order, step, 1)),
+r AS (
+    SELECT part, filter_order, step, bit,
+           sum(CASE WHEN (fails & CAST(before + bit AS INTEGER)) = 0 THEN n ELSE 0 END) AS kept,
+           sum(CASE WHEN (fails & CAST(before AS INTEGER)) = 0 AND (fails & bit) > 0 THEN n ELSE 0 END) AS removed,
+           sum(CASE WHEN (fails & CAST(before AS INTEGER)) > 0 AND (fails & bit) > 0 THEN n ELSE 0 END) AS redundant,
+           sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN (fails & CAST(before AS INTEGER)) = 0 AND (fails & bit) > 0 THEN good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN (fails & CAST(before AS INTEGER)) = 0 AND (fails & bit) > 0 THEN toxic ELSE 0 END) AS toxic_lost
+    FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (
+    SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+g AS (SELECT doc_id, i, line, coalesce(doc_id <> first, false) AS gone FROM k LEFT JOIN r ON r.key = k.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM g GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -206,6 +310,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_decontamination": op9_decontamination,
         "op10_quotations": op10_quotations,
+        "op11_spelling": op11_spelling,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_line_dedup": op13_line_dedup,
     }
 
 
@@ -216,4 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_byte_shards": OP5_SQL,
         "op7_near_dedup": OP7_SQL,
         "op10_quotations": OP10_SQL,
+        "op11_spelling": OP11_SQL,
+        "op12_filter_audit": OP12_SQL,
+        "op13_line_dedup": OP13_SQL,
     }
