@@ -39,7 +39,12 @@ def read_lines(spark: SparkSession, path: str | list[str], encoding: str = "ISO-
     Files are read in blocks; a line's number is its place in its block and the number of lines in the blocks before.
     """
     raw = spark.read.option("recursiveFileLookup", True).text(path)
-    rows = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+    return numbered_lines(raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value"), encoding)
+
+
+def numbered_lines(rows: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:
+    """(path, n, line) of raw lines (path, block, value) as Spark's text reader gives them."""
+    rows = rows.select("path", "block", F.monotonically_increasing_id().alias("id"), "value")
     counts = rows.groupBy("path", "block").agg(F.count("*").alias("lines"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("path", "block", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
