@@ -6,6 +6,8 @@ month are digits of the conversation's number. Every twentieth conversation is a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,13 +112,10 @@ def dump_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "issues": ({"issn": ["0000-0001", "0000-0003"], "issue": ["0006"]}, None),
         "pid prefix": ({"issn": ["0000-0002"]}, {"year": ["199"], "issue": ["000"]}),
     }
-    found = None
-    for name, (equal, prefix) in sought.items():
-        lines = read_dump_lines(spark, folder, equal, prefix, suffix=".txt", encoding="UTF-8")
-        records = isis.build_records(isis.join_continuations(isis.number_records(numbered_lines(lines))))
-        groups = isis.group_records(records).filter(F.col("pid").startswith("S")).withColumn("sought", F.lit(name))
-        found = groups if found is None else found.unionByName(groups)
-    return found.select("sought", "pid", *_facts(found))
+    parts = [read_dump_lines(spark, folder, *wanted, suffix=".txt", encoding="UTF-8").withColumn("path", F.concat(F.lit(name + "|"), "path")) for name, wanted in sought.items()]
+    lines = stored(reduce(DataFrame.unionByName, [numbered_lines(p) for p in parts]))
+    groups = isis.group_records(isis.build_records(isis.join_continuations(isis.number_records(lines)))).filter(F.col("pid").startswith("S"))
+    return groups.select(F.split("path", r"\|")[0].alias("sought"), "pid", *_facts(groups))
 
 
 @query(f"""
@@ -136,11 +135,9 @@ def dump_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = DumpIndex(spark, target, "UTF-8")
     answered = dump_records(spark, sf_dir).filter((F.col("line") == 0) & (isis.value("record", "010") == "assistant")).select(isis.value("record", "880").alias("pid"))
     sought = {"pids": index.pids(answered), "prefix": index.prefix("S0000-00071990"), "changed": index.changed("19900301", "19900515"), "folder": index.issue_folder("v1990n3")}
-    found = None
-    for name, rows in sought.items():
-        groups = index.groups(rows).withColumn("sought", F.lit(name))
-        found = groups if found is None else found.unionByName(groups)
-    return found.select("sought", "pid", *_facts(found))
+    found = stored(reduce(DataFrame.unionByName, [rows.withColumn("sought", F.lit(name)) for name, rows in sought.items()]))
+    groups = index.groups(found)  # what several ask for is read once
+    return groups.join(found.select("path", "grp", "sought"), ["path", "grp"]).select("sought", "pid", *_facts(groups))
 
 
 @query("""

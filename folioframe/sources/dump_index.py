@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from folioframe.operators.runs import run_length_groups
 from folioframe.sources import isis
 from folioframe.sources.dump_source import block_lines, open_store, read_dump_lines
+from folioframe.sources.scratch import stored
 
 #: Tags that identity, type, folder and date of a record are told by.
 KEY_TAGS = ("v004", "v035", "v036", "v091", "v400", "v702", "v706", "v880")
@@ -33,16 +34,18 @@ def group_extents(lines: DataFrame, kind: str = "artigo") -> DataFrame:
     makes a group without one.
     """
     stripped = lines.select("path", F.col("start").alias("n"), "stop", isis.strip(F.col("line")).alias("line"))
-    numbered = isis.number_records(stripped)
+    numbered = stored(isis.number_records(stripped))  # read twice
     # a dump whose first record has no mark begins with record 0
-    extents = numbered.filter("line <> ''").groupBy("path", "rec").agg(F.min("n").alias("start"), F.max("stop").alias("stop"), F.max("field").alias("field"))
-    extents = extents.filter("rec > 0 OR field > 0").drop("field")
-    fields = isis.join_continuations(numbered.drop("stop"))
-    keys = isis.build_records(fields.filter(isis.field_tag(F.col("line")).isin(*KEY_TAGS)))
-    # records without content are none for the reader
-    filled = fields.filter((isis.field_tag(F.col("line")) != "") & (isis.field_content(F.col("line")) != "")).select("path", "rec").distinct()
-    records = extents.join(filled, ["path", "rec"], "left_semi").join(keys, ["path", "rec"], "left")
-    records = records.select("path", "rec", "start", "stop", "record", isis.id_function(kind)("record").alias("pid"))
+    extents = numbered.filter("line <> '' AND (rec > 0 OR field > 0)").groupBy("path", "rec").agg(F.min("n").alias("start"), F.max("stop").alias("stop"))
+    tag, content = isis.field_tag(F.col("line")), isis.field_content(F.col("line"))
+    fields = isis.join_continuations(numbered.drop("stop")).select("path", "rec", "field", tag.alias("tag"), content.alias("content")).filter("tag <> '' AND content <> ''")
+    # a record without content is none for the reader; of the others the tags that matter are kept
+    occurrence = F.when(F.col("tag").isin(*KEY_TAGS), F.struct("field", "tag", F.map_entries(isis.subfields(F.col("content"))).alias("occ")))
+    keyed = fields.groupBy("path", "rec").agg(F.array_sort(F.collect_list(occurrence)).alias("occs"))
+    of = lambda t: F.transform(F.filter("occs", lambda o: (o["tag"] == t) & (F.size(o["occ"]) > 0)), lambda o: F.map_from_entries(o["occ"]))
+    tags = F.filter(F.array(*[F.struct(F.lit(t).alias("tag"), of(t).alias("occs")) for t in KEY_TAGS]), lambda e: F.size(e["occs"]) > 0)
+    records = extents.join(keyed.select("path", "rec", F.map_from_entries(tags).alias("record")), ["path", "rec"])
+    records = stored(records.select("path", "rec", "start", "stop", "record", isis.id_function(kind)("record").alias("pid")))
     grouped = run_length_groups(records, "pid", "rec")
     first = lambda c: F.min_by(c, "rec")
     groups = grouped.groupBy("path", "grp").agg(
@@ -94,13 +97,13 @@ class DumpIndex:
 
     def lines(self, found: DataFrame) -> DataFrame:
         """(path, n, line) of the groups' bytes; the path is that of the file with the group's number and start, as records are numbered by group here."""
-        spots = found.select("path", "start", "stop", "grp").distinct()
+        spots = stored(found.select("path", "start", "stop", "grp").distinct())  # ranges of the order are sampled first
         dealt = spots.repartitionByRange(F.col("path"), F.col("start")).sortWithinPartitions("path", "start")
         return dealt.mapInArrow(_read(self.encoding), "path string, n long, line string").select("path", "n", isis.strip(F.col("line")).alias("line"))
 
     def records(self, found: DataFrame) -> DataFrame:
         """(path, grp, rec, record): the records of the groups, numbered from 1 in each."""
-        records = isis.build_records(isis.join_continuations(isis.number_records(self.lines(found))))
+        records = isis.build_records(isis.join_continuations(isis.number_records(stored(self.lines(found)))))
         parts = F.split("path", "\x1f")
         return records.select(parts[0].alias("path"), parts[1].cast("long").alias("grp"), "rec", "record")
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.sources.scratch import stored
+
 #: Sources in their order of preference, and the other order that is in use: what of the dump belongs to the issue is all of it, what has the issue's folder, or what has its pid.
 RANKS = (("xml", "all"), ("journal", "folder"), ("base", "all"), ("journal", "pid"))
 FILES_RANKS = (("xml", "all"), ("journal", "pid"), ("base", "all"), ("journal", "folder"))
@@ -53,6 +55,7 @@ def first_sources(groups: DataFrame, sources: DataFrame, issue: Sequence[str] =
     issue_of = F.when(F.length("pid") == 23, F.substring("pid", 2, 17)).otherwise(F.col("pid"))
     scopes = F.filter(F.array(F.lit("all"), F.concat(F.lit("folder "), F.col("folder")), F.concat(F.lit("pid "), issue_of)), lambda s: s.isNotNull())
     there = groups.filter("dump IS NOT NULL").select("dump", F.explode(scopes).alias("scope")).distinct()
+    sources = stored(sources)
     best = sources.join(there, ["dump", "scope"], "left_semi").groupBy(*issue).agg(F.min("rank").alias("rank"))
     same = sources.alias("s").join(best.alias("b"), [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*issue, "rank"]], "left_semi")
     won = same.select(*issue, "rank", F.col("dump").alias("_dump"), "scope").distinct()
@@ -71,6 +74,6 @@ def documents_by_issue(index, sources: DataFrame, dump: Column) -> DataFrame:
     ``dump`` tells of an index row's path which dump it belongs to (``site_dump``).
     """
     rows = index.by("pid").withColumn("dump", dump)
-    found = first_sources(rows, sources).filter("kind = 'doc'").select("path", "grp", "start", "stop", "acronym", "folder", "issue_pid", "rank")
+    found = stored(first_sources(rows, sources).filter("kind = 'doc'").select("path", "grp", "start", "stop", "acronym", "folder", "issue_pid", "rank"))
     groups = index.groups(found.select("path", "grp", "start", "stop"))
     return groups.join(found.drop("start", "stop"), ["path", "grp"])
