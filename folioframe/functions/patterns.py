@@ -72,24 +72,15 @@ def prefix_table(patterns: Mapping[str, Sequence[str]], anchored: bool = True) -
     return Table([(f"(?:{_any(listed)})", kind) for kind, listed in patterns.items()], anchored)
 
 
-def footnote_table(
-    words: Mapping[str, Sequence[str]] = T.FOOTNOTE_PATTERNS,
-    pairs: Mapping[str, Sequence[tuple[str, str]]] = T.FOOTNOTE_PAIRS,
-    done_by: Mapping[str, Sequence[tuple[str, str]]] = T.FOOTNOTE_DONE_BY,
-) -> Table:
-    """Beginnings, beginnings with something later on, and participles with an agent, by type."""
-    listed = {kind: [*plain, *(f"{a}.*{z}" for a, z in pairs.get(kind, ())), *(f"{w} {T.AGENTS[lang]}" for lang, w in done_by.get(kind, ()))] for kind, plain in words.items()}
-    return prefix_table(listed)
-
-
 LABELS = label_table()
 IDS = Table(T.ID_PATTERNS).merged()
 SECTIONS = prefix_table(T.SECTION_PATTERNS)
 SECTION_PARTS = prefix_table(T.SECTION_PATTERNS, anchored=False)
 COMBINED = Table(T.COMBINED_SECTIONS, anchored=False)
-FOOTNOTES = footnote_table()
+FOOTNOTES = prefix_table(T.FOOTNOTE_PATTERNS)
 PARENTS = Table(T.TITLE_PARENTS).merged()
 
+# Numbers before section titles.
 _SECTION_NUMBERS = [
     r"^(\d+(?:\.\d+)*)\s*\.?\s+",
     r"^([A-Z])\s*\.\s+",
@@ -97,6 +88,7 @@ _SECTION_NUMBERS = [
     r"^([IVX]+)\s*\.\s+",
     r"^([IVX]+)\s+",
 ]
+# Numbers before footnotes.
 _FOOTNOTE_NUMBERS = [
     r"^(\d+)\.?\s*",
     r"^\[(\d+)\]",
@@ -109,6 +101,7 @@ _FOOTNOTE_NUMBERS = [
     r"^\(([A-Z])\)",
     r"^([*†‡§¶#]+)\s*",
 ]
+# Numbers of labels.
 _NUMBERS = [r"^(\d+)$", r"(\d+[A-Za-z]?)", r"([A-Z])(?:\s|$)", r"([a-z])(?:\s|$)", r"([*†‡§¶#]+)"]
 
 

@@ -412,14 +412,22 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _links(spark, sf_dir)
 
 
+#: What is put before links, so that each kind is there.
+_BEFORE = ["", "mailto:x@y.org?subject=", "#", "/img/revistas/aa", "https://h.org", "www.h.org/", "h.org/", "../"]
+
+
 @query(_LINKS + r"""
+, p AS (SELECT page_id, pos, (['', 'mailto:x@y.org?subject=', '#', '/img/revistas/aa', 'https://h.org', 'www.h.org/', 'h.org/', '../'])[1 + (page_id + pos) % 8] || link AS link FROM l)
 SELECT page_id, pos, CASE WHEN link = '' THEN 'none' WHEN link LIKE '%mailto%' OR link LIKE '%@%' THEN 'email' WHEN link LIKE '#%' THEN 'internal'
     WHEN link LIKE '%img/revistas/%' OR link LIKE '%..%' THEN 'asset' WHEN link LIKE '%:%' THEN 'external' WHEN link LIKE '%www%' THEN 'external' WHEN link LIKE 'http%' THEN 'external'
-    WHEN regexp_matches(string_split(link, '/')[1], '[^.]') AND string_split(link, '/')[1] LIKE '%.%' THEN 'external' ELSE 'other' END AS kind FROM l
+    WHEN regexp_matches(string_split(link, '/')[1], '[^.]') AND string_split(link, '/')[1] LIKE '%.%' THEN 'external' ELSE 'other' END AS kind FROM p
 """)
 def link_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links as they are, and behind beginnings that make them of another kind, by their place."""
+    before = F.element_at(F.array(*[F.lit(b) for b in _BEFORE]), ((F.col("page_id") + F.col("pos")) % len(_BEFORE) + 1).cast("int"))
+    links = _links(spark, sf_dir).withColumn("link", F.concat(before, "link"))
     kind = F.when(F.col("link") == "", "none").otherwise(body.link_kind_of(F.col("link")))
-    return _links(spark, sf_dir).select("page_id", "pos", kind.alias("kind"))
+    return links.select("page_id", "pos", kind.alias("kind"))
 
 
 @query(_LINKS + "SELECT page_id, link, min(pos) AS pos FROM l GROUP BY 1, 2")

@@ -370,19 +370,21 @@ def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT page_id, md5(html) AS comments_md5, md5('a' || html) AS office_md5, md5(replace(html, 'xyzzy', '')) AS plain_md5 FROM pages
-WHERE html NOT LIKE '%<!%' AND html NOT LIKE '%<xml%' AND html NOT LIKE '%<?xml%' AND html NOT LIKE '%<o:%' AND html NOT LIKE '%<w:%'
-UNION ALL SELECT page_id, NULL, NULL, NULL FROM pages WHERE NOT (html NOT LIKE '%<!%' AND html NOT LIKE '%<xml%' AND html NOT LIKE '%<?xml%' AND html NOT LIKE '%<o:%' AND html NOT LIKE '%<w:%')
+WITH b AS (SELECT page_id, regexp_replace(html, '(?s)<!--.*?-->', '', 'g') AS b FROM pages),
+c AS (SELECT *, b NOT LIKE '%<![%' AND b NOT LIKE '%<xml%' AND b NOT LIKE '%<?xml%' AND b NOT LIKE '%<o:%' AND b NOT LIKE '%<w:%' AND b NOT LIKE '%--%' AS clean FROM b)
+SELECT page_id, CASE WHEN clean THEN md5(b) END AS comments_md5, CASE WHEN clean THEN md5('a' || b) END AS office_md5, md5(b || 'z') AS plain_md5,
+       CASE WHEN clean THEN md5(b || '<!-- fine -->') END AS kept_md5 FROM c
 """)
 def comment_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Invalid comments and office conditionals put around every page without markup of that kind go, and nothing else does."""
-    html = F.col("html")
-    clean = ~(html.contains("<!") | html.contains("<xml") | html.contains("<?xml") | html.contains("<o:") | html.contains("<w:"))
-    invalid = tx.remove_invalid_comments(F.concat(F.lit("<!-- a -- b -->"), html, F.lit("<!-- x--y\nz -->")))
-    office = tx.remove_office_conditionals(F.concat(F.lit("<!--[if gte mso 9]><xml>q</xml><![endif]-->a"), html, F.lit("<o:p></o:p><![if !vml]><![endif]>")))
-    plain = tx.remove_comments(F.concat(html, F.lit("<!-- fine -->")))
+    """Pages without their own comments: invalid comments and office conditionals that are put around them go, valid comments stay until all go, and nothing else does."""
+    base = tx.remove_comments(F.col("html"))
+    clean = ~(base.contains("<![") | base.contains("<xml") | base.contains("<?xml") | base.contains("<o:") | base.contains("<w:") | base.contains("--"))
+    invalid = tx.remove_invalid_comments(F.concat(F.lit("<!-- a -- b -->"), base, F.lit("<!-- x--y\nz -->")))
+    office = tx.remove_office_conditionals(F.concat(F.lit("<!--[if gte mso 9]><xml>q</xml><![endif]-->a"), base, F.lit("<o:p></o:p><![if !vml]><![endif]>")))
+    plain = tx.remove_comments(F.concat(F.lit("<!-- first -->"), F.col("html"), F.lit("<!-- fine\n-->z")))
+    kept = tx.remove_invalid_comments(F.concat(base, F.lit("<!-- fine -->")))
     own = lambda c: F.when(clean, F.md5(c))
-    return _pages(spark, sf_dir).select("page_id", own(invalid).alias("comments_md5"), own(office).alias("office_md5"), own(plain).alias("plain_md5"))
+    return _pages(spark, sf_dir).select("page_id", own(invalid).alias("comments_md5"), own(office).alias("office_md5"), F.md5(plain).alias("plain_md5"), own(kept).alias("kept_md5"))
 
 
 @query("""

@@ -35,3 +35,26 @@ def test_query(spark, sf, con, name):
     names = [d[0] for d in found.description]
     assert sorted(names) == columns
     assert got == sorted((tuple(normal(r[names.index(c)]) for c in columns) for r in found.fetchall()), key=repr)
+
+
+@pytest.mark.parametrize("name", list(catalogue.oracle_sql()))
+def test_no_column_is_empty(con, name):
+    """An answer that is null on every row proves nothing."""
+    found = con.execute(catalogue.oracle_sql()[name])
+    names, rows = [d[0] for d in found.description], found.fetchall()
+    assert rows
+    for i, column in enumerate(names):
+        assert any(r[i] is not None for r in rows), column
+
+
+@pytest.mark.parametrize("name", ["line_parents", "line_footnotes", "line_labels", "heading_sections", "link_classify"])
+def test_classes_are_all_there(con, name):
+    """Each class has at least a hundredth of the rows, and at least a third of the rows have one."""
+    found = con.execute(catalogue.oracle_sql()[name])
+    names, rows = [d[0] for d in found.description], found.fetchall()
+    classes = [i for i, c in enumerate(names) if c in ("parent", "fn_type", "ref_type", "id_type", "sec_type", "kind")]
+    for i in classes:
+        counts = {}
+        for r in rows:
+            counts[r[i]] = counts.get(r[i], 0) + 1
+        assert len(counts) > 3 and min(counts.values()) * 100 >= len(rows) and counts.get(None, 0) * 3 <= 2 * len(rows), counts
