@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of one block of candidates (as long integers) and of the stripe of them that a task holds.
-BLOCK_BYTES, STRIPE_BYTES = 4 << 20, 32 << 20
-#: Candidates of a block, and queries of a block, at most; dimensions taken at once.
-CANDIDATES, QUERIES, DIMENSIONS = 4096, 1024, 16
+#: Bytes of one block of candidates (as long integers); packed bytes of the stripe of them, and of the block of queries, that a task holds.
+BLOCK_BYTES, STRIPE_BYTES, QUERY_BYTES = 4 << 20, 32 << 20, 32 << 20
+#: Candidates of a block, and queries of a block, at most; queries and dimensions taken at once.
+CANDIDATES, QUERIES, LANES, DIMENSIONS = 4096, 1 << 16, 1024, 16
+#: At least so many tasks, if there are as many blocks.
+TASKS = 96
 #: Vectors of a smaller mass have exact products in doubles.
 EXACT_MASS = float(1 << 26)
 LONGEST = (1 << 63) - 1
@@ -151,14 +153,15 @@ def _search(k: int):
             floor = np.full(len(q_ids), -np.inf)
             best = [(np.zeros(0, np.int64), np.zeros(0))] * len(q_ids)
             fine = np.flatnonzero(q_fine)
-            q_double = q[:, fine].astype(np.float64)
             for c_ids, c, c_fine in _read(candidates):
                 if len(c) != len(q):
                     continue
-                fine_ids, rough_ids = c_ids[c_fine], c_ids[~c_fine]
-                own = floor[fine]
-                for i, found in zip(fine, search_block(q_ids[fine], q_double, fine_ids, c[:, c_fine].astype(np.float64), k, own), strict=True):
-                    best[i] = _merged(best[i], found, k)
+                fine_ids, rough_ids, c_double = c_ids[c_fine], c_ids[~c_fine], c[:, c_fine].astype(np.float64)
+                for at in range(0, len(fine), LANES):
+                    lane = fine[at : at + LANES]
+                    own = floor[lane]
+                    for i, found in zip(lane, search_block(q_ids[lane], q[:, lane].astype(np.float64), fine_ids, c_double, k, own), strict=True):
+                        best[i] = _merged(best[i], found, k)
                 for i in range(len(q_ids)):
                     rough = slice(None) if not q_fine[i] else ~c_fine
                     ids = c_ids if not q_fine[i] else rough_ids
@@ -176,6 +179,17 @@ def _search(k: int):
     return search
 
 
+def grid(n: int, components: int, n_queries: int, largest: int) -> tuple[int, int, int]:
+    """Blocks of queries, stripes and blocks of candidates for n vectors of so many components in all, none beyond ``largest``.
+
+    Every stripe meets every block of queries, so each side moves as often as the other is cut: by what fits in a task's memory, packed.
+    """
+    width = next(w for w in (1, 2, 4, 8) if largest < 1 << 8 * w - 1 or w == 8)
+    n_blocks = max(1, math.ceil(n / CANDIDATES), math.ceil(8 * components / BLOCK_BYTES))
+    q_blocks = max(1, math.ceil(n_queries / QUERIES), math.ceil(width * components * n_queries / max(1, n) / QUERY_BYTES))
+    return q_blocks, min(n_blocks, max(math.ceil(TASKS / q_blocks), math.ceil(width * components / STRIPE_BYTES))), n_blocks
+
+
 def top_k(
     vectors: DataFrame,
     k: int = 20,
@@ -193,23 +207,19 @@ def top_k(
     * vectors of another length than the query's are no candidates for it; empty vectors score 0 with each other;
     * rows that repeat an id are each a candidate, but never for a query with that id; a repeated
       query gives its rows once;
-    * scores are exact whole numbers; those beyond 64 bits are cut off at the largest long (and rank so); a vector with a
-      component of 2**62 or more after scaling takes no part;
+    * scores are exact whole numbers; those beyond 64 bits are cut off at the largest long (and rank so), as are components;
     * fewer than ``k`` candidates: all of them; other columns are ignored; an empty table gives an empty one.
 
     Queries grow with the table, so they are not broadcast: both sides are cut into blocks of bounded
     size, and a grid of (query block, stripe of candidate blocks) is dealt over the executors. A stripe has at most
-    about ``STRIPE_BYTES``, whatever the number of queries.
+    about ``STRIPE_BYTES``, a block of queries ``QUERY_BYTES``.
     """
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
     fine = F.col("x").isNotNull() & F.forall("x", lambda y: y.isNotNull() & ~F.isnan(y) & (F.abs(y) < float("inf")))
     scaled = F.transform("x", lambda y: F.floor(y * scale))
-    small = F.forall("x", lambda y: F.abs(y * scale) < float(1 << 62))
-    v = v.filter(F.col("id").isNotNull()).withColumn("v", F.when(fine, F.when(small, scaled.cast("array<long>")))).filter("v IS NOT NULL").select("id", "v")
-    n, components, n_queries = v.agg(F.count("*"), F.sum(F.size("v")), F.count_if(F.expr(queries))).first()
-    n_blocks = max(1, math.ceil(n / CANDIDATES), math.ceil(8 * (components or 0) / BLOCK_BYTES))
-    q_blocks = max(1, math.ceil(n_queries / QUERIES))
-    stripes = min(n_blocks, max(math.ceil(96 / q_blocks), math.ceil(8 * (components or 0) / STRIPE_BYTES)))
+    v = v.filter(F.col("id").isNotNull()).withColumn("v", F.when(fine, scaled.cast("array<long>"))).filter("v IS NOT NULL").select("id", "v")
+    largest = F.max(F.greatest(F.array_max("v"), -1 - F.array_min("v")))
+    q_blocks, stripes, n_blocks = grid(*(x or 0 for x in v.agg(F.count("*"), F.sum(F.size("v")), F.count_if(F.expr(queries)), largest).first()))
     # rows are dealt by a hash of everything, so that one very common id or vector spreads
     c = v.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(n_blocks)))
     c = c.groupBy("block").applyInArrow(_blocks("block"), "block long, size int, ids binary, kind string, columns binary")

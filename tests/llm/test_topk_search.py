@@ -55,12 +55,12 @@ def test_large_components_have_whole_scores(spark):
     data = [(i, [float(np.float32(x)) for x in rng.normal(size=6) * 10.0 ** rng.integers(0, 6)], 0) for i in range(80)]
     data += [(200, [float(2**30), 1.0] + [0.0] * 4, 0), (201, [float(2**30), -3.0] + [0.0] * 4, 0), (203, [1e15] * 6, 0), (240, [-1e15] * 6, 0), (205, [3e38] * 6, 0)]
     top = (1 << 63) - 1
-    taken = [r for r in data if max(abs(64 * x) for x in r[1]) < 2**62]
+    data += [(207, [float(2**57), 1.0, 0.0, 0.0, 0.0, 0.0], 0)]  # takes part, however large
     wanted = []
-    for q, v, _ in taken:
+    for q, v, _ in data:
         if q % 20 == 0:
             a = [math.floor(64 * x) for x in v]
-            scores = [(-max(-top, min(top, sum(x * math.floor(64 * y) for x, y in zip(a, w, strict=True)))), i) for i, w, _ in taken if i != q]
+            scores = [(-max(-top, min(top, sum(x * math.floor(64 * y) for x, y in zip(a, w, strict=True)))), i) for i, w, _ in data if i != q]
             wanted += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:20], 1)]
     got = top_k(spark.createDataFrame([(i, v, n) for i, v, n in data], "vec_id long, embedding array<double>, label int"))
     assert sorted(map(tuple, got.collect())) == sorted(wanted)
@@ -71,6 +71,17 @@ def test_many_blocks_and_stripes(spark, monkeypatch):
 
     monkeypatch.setattr(t, "CANDIDATES", 16)
     monkeypatch.setattr(t, "QUERIES", 4)
-    monkeypatch.setattr(t, "STRIPE_BYTES", 4_000)
+    monkeypatch.setattr(t, "STRIPE_BYTES", 500)
     data = rows()
     assert sorted(map(tuple, top_k(spark.createDataFrame(data, SCHEMA)).collect())) == brute(data)
+
+
+def test_traffic_is_by_bytes_not_by_queries():
+    """A thousand million vectors of 64 small components: some hundred blocks of queries, some thousand stripes."""
+    from folioframe.llm.topk_search import grid
+
+    n, size = 10**9, 64
+    q_blocks, stripes, n_blocks = grid(n, n * size, n // 20, 100)
+    assert q_blocks <= 800 and stripes <= 2_000 and n_blocks > stripes
+    assert grid(2_000, 2_000 * 64, 100, 100)[0] == 1 and grid(0, 0, 0, 0) == (1, 1, 1)
+    assert grid(10**7, 10**7 * 64, 500_000, 1 << 40)[1] == 153  # eight bytes a component
