@@ -40,7 +40,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from folioframe.plans import dump_queries, entity_queries, structure_queries, title_queries, tree_queries  # noqa: F401  they register their own
+    from folioframe.plans import dump_queries, entity_queries, function_queries, structure_queries, title_queries, tree_queries  # noqa: F401  they register their own
 
     return dict(_QUERIES)
 
