@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.functions import fields, lookups, patterns
-from folioframe.functions import pattern_tables as T
 from folioframe.functions import text as tx
 from folioframe.functions.columns import spread
 from folioframe.operators import body, entities
@@ -537,11 +536,46 @@ def file_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select("p_partkey", tx.file_role(name, k.cast("string"), F.array(F.lit("en"), F.lit("es"))).alias("role"))
 
 
-# Names with every extension that has a type, and some that have none.
-_NAMES = [f"a.b/{'C' if k % 2 else 'c'}{x.upper() if k % 2 else x}" for k, x in enumerate(T.ASSET_TYPES)] + ["d.e/f", "x.unknown", "g.gz/h"]
-_NAME_ROWS = ", ".join(
-    f"({k}, '{n}', " + ", ".join(f"'{v}'" for v in T.ASSET_TYPES.get(n[n.rindex("."):].lower() if "/" not in n[n.rindex("."):] else "", ("other", "application", "octet-stream"))) + ")" for k, n in enumerate(_NAMES)
-)
+# Names with every extension that has a type, and some that have none; asset type, mime type and subtype.
+_NAMED = [
+    ("a.b/c.pdf", "pdf", "application", "pdf"),
+    ("a.b/C.GIF", "image", "image", "gif"),
+    ("a.b/c.jpg", "image", "image", "jpeg"),
+    ("a.b/C.JPEG", "image", "image", "jpeg"),
+    ("a.b/c.png", "image", "image", "png"),
+    ("a.b/C.TIFF", "image", "image", "tiff"),
+    ("a.b/c.bmp", "image", "image", "bmp"),
+    ("a.b/C.SVG", "image", "image", "svg+xml"),
+    ("a.b/c.mp4", "video", "video", "mp4"),
+    ("a.b/C.AVI", "video", "video", "x-msvideo"),
+    ("a.b/c.mov", "video", "video", "quicktime"),
+    ("a.b/C.WMV", "video", "video", "x-ms-wmv"),
+    ("a.b/c.flv", "video", "video", "x-flv"),
+    ("a.b/C.MKV", "video", "video", "x-matroska"),
+    ("a.b/c.mp3", "audio", "audio", "mpeg"),
+    ("a.b/C.WAV", "audio", "audio", "wav"),
+    ("a.b/c.ogg", "audio", "audio", "ogg"),
+    ("a.b/C.FLAC", "audio", "audio", "flac"),
+    ("a.b/c.htm", "html", "text", "html"),
+    ("a.b/C.HTML", "html", "text", "html"),
+    ("a.b/c.xls", "spreadsheet", "application", "vnd.ms-excel"),
+    ("a.b/C.XLSX", "spreadsheet", "application", "vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
+    ("a.b/c.xlsm", "spreadsheet", "application", "vnd.openxmlformats-officedocument.spreadsheetml.sheet"),
+    ("a.b/C.DOC", "document", "application", "msword"),
+    ("a.b/c.docx", "document", "application", "vnd.openxmlformats-officedocument.wordprocessingml.document"),
+    ("a.b/C.PPT", "presentation", "application", "vnd.ms-powerpoint"),
+    ("a.b/c.pptx", "presentation", "application", "vnd.openxmlformats-officedocument.presentationml.presentation"),
+    ("a.b/C.ZIP", "compressed", "application", "zip"),
+    ("a.b/c.rar", "compressed", "application", "x-rar-compressed"),
+    ("a.b/C.7Z", "compressed", "application", "x-7z-compressed"),
+    ("a.b/c.tar", "compressed", "application", "x-tar"),
+    ("a.b/C.GZ", "compressed", "application", "x-tar"),
+    ("d.e/f", "other", "application", "octet-stream"),
+    ("x.unknown", "other", "application", "octet-stream"),
+    ("g.gz/h", "other", "application", "octet-stream"),
+]
+_NAMES = [row[0] for row in _NAMED]
+_NAME_ROWS = ", ".join(f"({k}, " + ", ".join(f"'{v}'" for v in row) + ")" for k, row in enumerate(_NAMED))
 
 
 @query(f"SELECT p_partkey, t.asset_type, t.mimetype, t.mime_subtype FROM part JOIN (VALUES {_NAME_ROWS}) t(i, name, asset_type, mimetype, mime_subtype) ON p_partkey % {len(_NAMES)} = t.i")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from folioframe.plans.catalogue import _table, query
 from folioframe.sources import isis
 from folioframe.sources.dump_index import DumpIndex, write_index
-from folioframe.sources.dump_source import numbered_lines, read_dump_lines
+from folioframe.sources.dump_source import read_dump_records
 from folioframe.sources.precedence import documents_by_issue, issue_sources
 from folioframe.sources.scratch import new_folder, stored
 from folioframe.sources.sinks import write_dumps
@@ -112,9 +112,8 @@ def dump_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "issues": ({"issn": ["0000-0001", "0000-0003"], "issue": ["0006"]}, None),
         "pid prefix": ({"issn": ["0000-0002"]}, {"year": ["199"], "issue": ["000"]}),
     }
-    parts = [read_dump_lines(spark, folder, *wanted, suffix=".txt", encoding="UTF-8").withColumn("path", F.concat(F.lit(name + "|"), "path")) for name, wanted in sought.items()]
-    lines = stored(reduce(DataFrame.unionByName, [numbered_lines(p) for p in parts]))
-    groups = isis.group_records(isis.build_records(isis.join_continuations(isis.number_records(lines)))).filter(F.col("pid").startswith("S"))
+    parts = [read_dump_records(spark, folder, *wanted, suffix=".txt", encoding="UTF-8").withColumn("path", F.concat(F.lit(name + "|"), "path")) for name, wanted in sought.items()]
+    groups = isis.group_records(reduce(DataFrame.unionByName, parts)).filter(F.col("pid").startswith("S"))
     return groups.select(F.split("path", r"\|")[0].alias("sought"), "pid", *_facts(groups))
 
 
@@ -131,7 +130,7 @@ def dump_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dumps with an index beside them, and four lookups that read only the bytes of the groups they find: pids of a table, a prefix, dates, an issue folder."""
     folder, target = new_folder(spark), new_folder(spark)
     write_dumps(dump_records(spark, sf_dir).withColumn("part", F.col("conv_id") % 4), folder, ["part"], ["doc", "line"], encoding="UTF-8")
-    write_index(read_dump_lines(spark, folder, suffix=".txt", encoding="UTF-8"), target)
+    write_index(read_dump_records(spark, folder, suffix=".txt", encoding="UTF-8"), target)
     index = DumpIndex(spark, target, "UTF-8")
     answered = dump_records(spark, sf_dir).filter((F.col("line") == 0) & (isis.value("record", "010") == "assistant")).select(isis.value("record", "880").alias("pid"))
     sought = {"pids": index.pids(answered), "prefix": index.prefix("S0000-00071990"), "changed": index.changed("19900301", "19900515"), "folder": index.issue_folder("v1990n3")}
@@ -177,7 +176,7 @@ def source_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows.filter("acronym <> 'j3'").withColumn("record", untold).withColumn("dump", F.concat_ws(" ", F.lit("journal"), "acronym")),
     ]
     write_dumps(copies[0].unionByName(copies[1]).unionByName(copies[2]), folder, ["dump"], ["doc", "line"], encoding="UTF-8")
-    write_index(read_dump_lines(spark, folder, suffix=".txt", encoding="UTF-8"), target)
+    write_index(read_dump_records(spark, folder, suffix=".txt", encoding="UTF-8"), target)
     issues = rows.select("acronym", "folder", F.concat("issn", "year", "issue").alias("issue_pid")).distinct()
     dump = F.replace(F.url_decode(F.regexp_extract("path", "/dump=([^/]+)/", 1)), F.lit(" "), F.lit("/"))
     found = documents_by_issue(DumpIndex(spark, target, "UTF-8"), issue_sources(issues), dump)

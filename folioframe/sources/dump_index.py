@@ -1,6 +1,6 @@
 """An index kept beside dumps: from keys of record groups to the bytes that hold them.
 
-``write_index`` reads the dumps once and writes a row for each group of records (pid, kind, issue, folder, updated, path, grp, start, stop,
+``write_index`` reads the dumps once, without numbering lines, and writes a row for each group of records (pid, kind, issue, folder, updated, path, grp, start, stop,
 n_records), three times: sorted by pid, by date of update and by issue folder. A lookup reads the rows of its keys only (they lie together, so the
 others are skipped by the statistics of Parquet's row groups) and then, of the dumps, only the bytes of the groups it found: ranges are
 dealt to tasks in the order of file and place, and each task seeks them. Nothing passes through the driver, so a lookup may be of
@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 
 from folioframe.operators.runs import run_length_groups
 from folioframe.sources import isis
-from folioframe.sources.dump_source import block_lines, open_store, read_dump_lines
+from folioframe.sources.dump_source import block_records, open_store, read_dump_records, records_of
 from folioframe.sources.scratch import stored
 
-#: Tags that identity, type, folder and date of a record are told by.
-KEY_TAGS = ("v004", "v035", "v036", "v091", "v400", "v702", "v706", "v880")
 #: What the index is sorted by, each a copy of its own.
 ORDERS = ("pid", "updated", "folder")
 #: Rows of an index file, and bytes of a row group.
@@ -27,40 +25,29 @@ ROWS, GROUP_BYTES = 4_000_000, 1 << 20
 SCHEMA = "pid string, kind string, issue string, folder string, updated string, path string, grp long, start long, stop long, n_records long"
 
 
-def group_extents(lines: DataFrame, kind: str = "artigo") -> DataFrame:
-    """The index's rows, from lines with their start and stop in bytes: runs of consecutive records of one identity, and where they lie.
+def group_extents(records: DataFrame, kind: str = "artigo") -> DataFrame:
+    """The index's rows, from records with their start and stop in bytes: runs of consecutive records of one identity, and where they lie.
 
-    Only the fields that tell a record's identity are parsed. Lines before the first record are part of none, as in the reader; a record without a pid
-    makes a group without one.
+    A record without a pid makes a group without one.
     """
-    stripped = lines.select("path", F.col("start").alias("n"), "stop", isis.strip(F.col("line")).alias("line"))
-    numbered = stored(isis.number_records(stripped))  # read twice
-    # a dump whose first record has no mark begins with record 0
-    extents = numbered.filter("line <> '' AND (rec > 0 OR field > 0)").groupBy("path", "rec").agg(F.min("n").alias("start"), F.max("stop").alias("stop"))
-    tag, content = isis.field_tag(F.col("line")), isis.field_content(F.col("line"))
-    fields = isis.join_continuations(numbered.drop("stop")).select("path", "rec", "field", tag.alias("tag"), content.alias("content")).filter("tag <> '' AND content <> ''")
-    # a record without content is none for the reader; of the others the tags that matter are kept
-    occurrence = F.when(F.col("tag").isin(*KEY_TAGS), F.struct("field", "tag", F.map_entries(isis.subfields(F.col("content"))).alias("occ")))
-    keyed = fields.groupBy("path", "rec").agg(F.array_sort(F.collect_list(occurrence)).alias("occs"))
-    of = lambda t: F.transform(F.filter("occs", lambda o: (o["tag"] == t) & (F.size(o["occ"]) > 0)), lambda o: F.map_from_entries(o["occ"]))
-    tags = F.filter(F.array(*[F.struct(F.lit(t).alias("tag"), of(t).alias("occs")) for t in KEY_TAGS]), lambda e: F.size(e["occs"]) > 0)
-    records = extents.join(keyed.select("path", "rec", F.map_from_entries(tags).alias("record")), ["path", "rec"])
-    records = stored(records.select("path", "rec", "start", "stop", "record", isis.id_function(kind)("record").alias("pid")))
+    keyed = records.select("path", "rec", "start", "stop", "record", isis.id_function(kind)("record").alias("pid"))
+    told = {"type": "706", "folder": "004", "updated": "091"}
+    records = stored(keyed.select("path", "rec", "start", "stop", "pid", *[isis.value("record", tag).alias(c) for c, tag in told.items()]))
     grouped = run_length_groups(records, "pid", "rec")
     first = lambda c: F.min_by(c, "rec")
     groups = grouped.groupBy("path", "grp").agg(
-        first(F.col("pid")).alias("pid"), first(isis.value("record", "706")).alias("type"), first(isis.value("record", "004")).alias("folder"),
-        F.max(isis.value("record", "091")).alias("updated"), F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n_records"),
+        first("pid").alias("pid"), first("type").alias("type"), first("folder").alias("folder"), F.max("updated").alias("updated"),
+         F.min("start").alias("start"), F.max("stop").alias("stop"), F.count("*").alias("n_records"),
     )
     kinds = F.when(F.col("type") == "i", "issue").when((F.col("type") == "o") | (F.col("type") == "h"), "doc").otherwise("other")
     issue = F.when(kinds == "issue", F.col("pid")).when(F.length("pid") == 23, F.substring("pid", 2, 17))
     return groups.select("pid", kinds.alias("kind"), issue.alias("issue"), "folder", "updated", "path", "grp", "start", "stop", "n_records")
 
 
-def write_index(lines: DataFrame, target: str, kind: str = "artigo") -> None:
-    """Write the index of all dumps that the lines (``read_dump_lines``) are from; an index that is there is replaced."""
-    spark = lines.sparkSession
-    group_extents(lines, kind).write.mode("overwrite").parquet(f"{target}/groups")
+def write_index(records: DataFrame, target: str, kind: str = "artigo") -> None:
+    """Write the index of all dumps that the records (``read_dump_records``) are from; an index that is there is replaced."""
+    spark = records.sparkSession
+    group_extents(records, kind).write.mode("overwrite").parquet(f"{target}/groups")
     groups = spark.read.schema(SCHEMA).parquet(f"{target}/groups")
     files = max(1, -(-groups.count() // ROWS))
     for key in ORDERS:
@@ -95,17 +82,13 @@ class DumpIndex:
     def issue_folder(self, folder: str) -> DataFrame:
         return self.by("folder").filter(F.col("folder") == folder)
 
-    def lines(self, found: DataFrame) -> DataFrame:
-        """(path, n, line) of the groups' bytes; the path is that of the file with the group's number and start, as records are numbered by group here."""
+    def records(self, found: DataFrame) -> DataFrame:
+        """(path, grp, rec, record): the records of the groups; rec is their offset."""
         spots = stored(found.select("path", "start", "stop", "grp").distinct())  # ranges of the order are sampled first
         dealt = spots.repartitionByRange(F.col("path"), F.col("start")).sortWithinPartitions("path", "start")
-        return dealt.mapInArrow(_read(self.encoding), "path string, n long, line string").select("path", "n", isis.strip(F.col("line")).alias("line"))
-
-    def records(self, found: DataFrame) -> DataFrame:
-        """(path, grp, rec, record): the records of the groups, numbered from 1 in each."""
-        records = isis.build_records(isis.join_continuations(isis.number_records(stored(self.lines(found)))))
+        raw = dealt.mapInArrow(_read(self.encoding), "path string, start long, stop long, line string")
         parts = F.split("path", "\x1f")
-        return records.select(parts[0].alias("path"), parts[1].cast("long").alias("grp"), "rec", "record")
+        return records_of(raw).select(parts[0].alias("path"), parts[1].cast("long").alias("grp"), "rec", "record")
 
     def groups(self, found: DataFrame, kind: str = "artigo") -> DataFrame:
         """(path, grp, pid, records), as ``read_isis`` gives them, of the groups found."""
@@ -117,7 +100,7 @@ class DumpIndex:
 
 
 def _read(encoding: str):
-    """The lines of byte ranges, which come in the order of file and place."""
+    """The records of byte ranges, which come in the order of file and place; the path is that of the file with the group's number."""
 
     def work(batches):
         name, file = None, None
@@ -128,10 +111,10 @@ def _read(encoding: str):
                         file.close()
                     store, where = open_store(path)
                     name, file = path, store.open_input_file(where)
-                at, _, lines = zip(*block_lines(file, start, stop), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f"{path}\x1f{grp}"] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array([x.decode(encoding) for x in lines], pa.string())], ["path", "n", "line"]
-                )
+                at, to, lines = zip(*block_records(file, start, stop, beyond=False), strict=True)
+                named = pa.array([f"{path}\x1f{grp}"] * len(at), pa.string())
+                text = pa.array([x.decode(encoding) for x in lines], pa.string())
+                yield pa.RecordBatch.from_arrays([named, pa.array(at, pa.int64()), pa.array(to, pa.int64()), text], ["path", "start", "stop", "line"])
         if file:
             file.close()
 
@@ -140,5 +123,5 @@ def _read(encoding: str):
 
 def indexed(spark: SparkSession, root: str, target: str, kind: str = "artigo", **options) -> DumpIndex:
     """Index the dumps below root and open the index."""
-    write_index(read_dump_lines(spark, root, **options), target, kind)
+    write_index(read_dump_records(spark, root, **options), target, kind)
     return DumpIndex(spark, target, options.get("encoding", "ISO-8859-1"))

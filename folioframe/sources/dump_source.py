@@ -7,8 +7,9 @@ cannot match is not listed, so one pid lists three folders and opens one file. F
 Filters of a query (``WHERE pid = '...'``) plan the listing only with the option ``pushdown``: Spark keeps the filters that were pushed last for a loaded table, so a
 table that is loaded once and filtered twice would lose rows. With it, load the table anew for each query.
 
-A large file is cut into blocks; a block has the lines that begin in it. A line's place is its offset in bytes, which orders
-the lines of a file without counting them, and where a record is can be kept in an index (``dump_index``).
+A large file is cut into blocks; a block has the lines, or the records, that begin in it, and reads on to their end. Their place is their offset in bytes, which orders
+them without counting, and can be kept in an index (``dump_index``). So records are made where they are read (``read_dump_records``): nothing is shuffled to number
+lines or to bring a record's fields together, as ``isis.read_records`` has to with lines from Spark's text reader.
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, StringStartsWith
 
-from folioframe.sources.isis import strip
+from folioframe.sources.isis import field_content, field_tag, strip, subfields
 
+#: ``line`` is a line's text without its end, or with the option ``records`` all lines of a record.
 SCHEMA = "path string, issn string, year string, issue string, pid string, start long, stop long, line string"
+_MARK = b"!ID "
 #: Bytes of a block; small files share a task up to so many, each counting OPEN bytes more.
 BLOCK, OPEN = 32 << 20, 1 << 16
 _CHUNK, _ROWS = 4 << 20, 10_000
@@ -58,6 +61,26 @@ def block_lines(file, start: int, end: int) -> Iterator[tuple[int, int, bytes]]:
         yield base, base + len(held), held
 
 
+def block_records(file, start: int, end: int, beyond: bool = True) -> Iterator[tuple[int, int, bytes]]:
+    """(start, stop, lines) of the records whose mark begins in [start, end), read beyond it to their end if so; lines before the first mark of a file are a record too."""
+    held, at, stop = [], start, start
+    inside = start == 0
+    for begin, behind, line in block_lines(file, start, 1 << 62 if beyond else end):
+        if line.startswith(_MARK):
+            if held:
+                yield at, stop, b"\n".join(held)
+            if begin >= end:
+                return
+            held, at, inside = [], begin, True
+        elif begin >= end and not inside:
+            return
+        if inside:
+            held.append(line)
+            stop = behind
+    if held:
+        yield at, stop, b"\n".join(held)
+
+
 def open_store(path: str) -> tuple[pa.fs.FileSystem, str]:
     """A path's store, and its path there."""
     return pa.fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
@@ -120,6 +143,7 @@ class DumpReader(DataSourceReader):
     def __init__(self, options):
         self.root, self.suffix = options["path"], options.get("suffix", ".id")
         self.block, self.encoding = int(options.get("block", BLOCK)), options.get("encoding", "ISO-8859-1")
+        self.cut = block_records if options.get("records", "false").lower() == "true" else block_lines
         self.wanted, self.pushdown = Wanted(), options.get("pushdown", "false").lower() == "true"
         for column, values in json.loads(options.get("equal", "{}")).items():
             self.wanted.add(column, values, True)
@@ -160,13 +184,14 @@ class DumpReader(DataSourceReader):
         store, _ = open_store(self.root)
         for path, at, to in partition.parts:
             columns = file_columns(path)
-            rows: list[tuple[int, int, str]] = []
+            rows, size = [], 0
             with store.open_input_file(path) as file:
-                for start, stop, line in block_lines(file, at, to):
+                for start, stop, line in self.cut(file, at, to):
                     rows.append((start, stop, line.decode(self.encoding)))
-                    if len(rows) == _ROWS:
+                    size += len(line)
+                    if len(rows) == _ROWS or size > _CHUNK:
                         yield _batch(path, columns, rows)
-                        rows = []
+                        rows, size = [], 0
             if rows:
                 yield _batch(path, columns, rows)
 
@@ -178,7 +203,7 @@ def _batch(path: str, columns: dict[str, str | None], rows: list[tuple[int, int,
 
 
 class DumpSource(DataSource):
-    """``spark.read.format("folio_dump").load(root)``; options: suffix (.id), encoding (ISO-8859-1), block (bytes), equal and prefix (JSON of lists by column), pushdown."""
+    """``spark.read.format("folio_dump").load(root)``; options: suffix (.id), encoding (ISO-8859-1), block (bytes), records, equal and prefix (JSON of lists by column), pushdown."""
 
     @classmethod
     def name(cls):
@@ -211,3 +236,24 @@ def read_dump_lines(spark: SparkSession, root: str, equal: Mapping[str, Sequence
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """(path, n, line) for the record engine: n is the line's offset."""
     return lines.select("path", F.col("start").alias("n"), strip(F.col("line")).alias("line"))
+
+
+def records_of(raw: DataFrame) -> DataFrame:
+    """(path, rec, record, start, stop) of records' lines (path, start, stop, line): fields with what continues them, their subfields, and their occurrences by tag, in the row.
+
+    The same records as of ``isis.build_records``; rec is the offset. Records without any content are dropped.
+    """
+    lines = F.filter(F.transform(F.split("line", r"\r\n|\r|\n"), strip), lambda x: (x != "") & ~x.startswith("!ID "))
+    # a line that begins no field goes on with the one before
+    fields = F.filter(F.split(F.regexp_replace(F.array_join(lines, "\x1f"), "\x1f(?!!v)", " "), "\x1f"), lambda x: x.startswith("!v"))
+    parsed = F.transform(fields, lambda x: F.struct(field_tag(x).alias("tag"), F.map_entries(subfields(field_content(x))).alias("occ")))
+    full = raw.withColumn("_fields", F.filter(parsed, lambda f: (f["tag"] != "") & (F.size(f["occ"]) > 0))).filter(F.size("_fields") > 0)
+    of = lambda t: F.transform(F.filter("_fields", lambda f: f["tag"] == t), lambda f: F.map_from_entries(f["occ"]))
+    tags = F.array_distinct(F.transform("_fields", lambda f: f["tag"]))
+    record = F.map_from_entries(F.transform(tags, lambda t: F.struct(t.alias("tag"), of(t).alias("occs"))))
+    return full.select("path", F.col("start").alias("rec"), record.alias("record"), "start", "stop")
+
+
+def read_dump_records(spark: SparkSession, root: str, equal: Mapping[str, Sequence[str]] | None = None, prefix: Mapping[str, Sequence[str]] | None = None, **options) -> DataFrame:
+    """(path, rec, record, start, stop) of the dumps that ``read_dump_lines`` would read, without a shuffle."""
+    return records_of(read_dump_lines(spark, root, equal, prefix, records=True, **options))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from folioframe.sources import dump_source, files, isis, precedence, sinks
 from folioframe.sources.dump_index import DumpIndex, indexed
-from folioframe.sources.dump_source import DumpReader, Wanted, block_lines, numbered_lines, read_dump_lines
+from folioframe.sources.dump_source import DumpReader, Wanted, block_lines, numbered_lines, read_dump_lines, read_dump_records
 from folioframe.streaming.merged import MergedTable, keep_up
 
 
@@ -95,10 +95,29 @@ def test_same_records_as_the_text_reader(spark, site):
     rows = lambda df: sorted((r.path.split("/")[-1] + str(r.path.count("=")), r.rec, json.dumps(r.record, sort_keys=True)) for r in df.collect())
     lines = read_dump_lines(spark, str(site), block=64)  # blocks much smaller than a file
     got = isis.build_records(isis.join_continuations(isis.number_records(numbered_lines(lines))))
-    assert rows(got) == rows(isis.read_records(spark, [str(p) for p in site.rglob("*.id") if "_hidden" not in str(p)]))
+    whole = rows(isis.read_records(spark, [str(p) for p in site.rglob("*.id") if "_hidden" not in str(p)]))
+    assert rows(got) == whole
+    records = read_dump_records(spark, str(site), block=64)  # records numbered by their offsets
+    assert [(k, v) for k, _, v in rows(records)] == [(k, v) for k, _, v in whole]
     assert read_dump_lines(spark, str(site / "loose.id")).count() == 9
 
 
+ODD = "before any mark\n!v706!x\n!ID 1\n\n  !v010!^nA^sB\nthat goes on \n !v010!second\n!v012!\n!!empty tag\n!v!x\n!ID 2\n!ID 3\nno field\n!v999!a^^b^?c\\^d!v1!x\n\n!ID 4\n!v001!last"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_odd_records_are_those_of_the_text_reader(spark, tmp_path, end):
+    (tmp_path / "odd.id").write_bytes(end.join(ODD.split("\n")).encode())
+    rows = lambda df: [json.dumps(r.record, sort_keys=True) for r in df.orderBy("rec").collect()]
+    wanted = rows(isis.read_records(spark, str(tmp_path)))
+    for block in (5, 16, 1 << 20):
+        assert rows(read_dump_records(spark, str(tmp_path), block=block)) == wanted and len(wanted) == 4
+
+
+def test_records_need_no_shuffle(spark, site):
+    assert "Exchange" not in read_dump_records(spark, str(site))._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture
 def dumps(tmp_path):
     """Two dumps of several issues; in the second a document comes again, apart from the first."""
@@ -179,9 +198,9 @@ def test_dumps_come_back_as_written(spark, tmp_path):
     df = spark.createDataFrame(rows, f"id long, line int, record {isis.RECORD_TYPE}").withColumn("part", F.lit("x"))
     sinks.write_dumps(df, str(tmp_path / "d"), ["part"], ["id", "line"])
     got = [r.record for r in isis.read_records(spark, str(tmp_path / "d")).orderBy("path", "rec").collect()]
-    got = sorted(got, key=str)
+    order = lambda r: json.dumps(r, sort_keys=True)
     escaped = {"v706": [{"_": "o"}], "v012": [{"_": "Título", "l": "pt"}, {"l": "en", "_": f"a{isis.ESCAPED}b"}], "v010": [{"n": "só"}]}
-    assert got == sorted([escaped, {"v706": [{"_": "c"}], "v031": [{"_": "line break"}]}, rows[2][2]], key=str)
+    assert sorted(got, key=order) == sorted([escaped, {"v706": [{"_": "c"}], "v031": [{"_": "line break"}]}, rows[2][2]], key=order)
 
 
 # ---- precedence --------------------------------------------------------------------------------
