@@ -446,3 +446,36 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_code = lookups.with_country(n.withColumn("c", code), table, "c").withColumnRenamed("country_name", "by_code").withColumnRenamed("country_code", "code")
     by_name = lookups.with_country(by_code.withColumn("c", F.concat(F.lit("es "), "n_name")), table, "c", "pt")
     return by_name.select("n_nationkey", "by_code", F.col("country_name").alias("by_name"), "code")
+
+
+@query("""
+WITH d AS (SELECT doc_id AS key, CAST(doc_id AS VARCHAR) AS k, doc_id % 9 AS v FROM documents)
+SELECT key, CASE v WHEN 0 THEN 'patent' WHEN 1 THEN 'confproc' WHEN 2 THEN 'book' WHEN 3 THEN 'journal' WHEN 4 THEN 'webpage' WHEN 5 THEN 'data' WHEN 6 THEN 'thesis' WHEN 7 THEN 'book' END AS publication_type,
+       CASE WHEN v IN (1, 3, 5, 0) THEN 'cited ' || k END AS article_title_text, CASE WHEN v = 2 THEN 'cited ' || k END AS chapter_title, CASE WHEN v = 5 THEN 'cited ' || k END AS data_title,
+       CASE WHEN v IN (0, 2, 7) THEN 'monograph ' || k WHEN v = 3 THEN 'journal ' || k END AS source, CASE v WHEN 1 THEN '7 Meeting ' || k || '; Second' END AS conference_name,
+       CASE WHEN v = 1 THEN 'Sponsor, Div' END AS conference_sponsor, CASE WHEN v = 0 THEN 'P' || k END AS patent_id, CASE WHEN v = 0 AND key % 2 = 0 THEN 'Brasil' END AS patent_country,
+       CASE WHEN v = 0 THEN 'Office' END AS patent_organization, CASE v WHEN 0 THEN '20010203' WHEN 1 THEN '19980000' WHEN 4 THEN '20200510' WHEN 6 THEN '19991200' WHEN 3 THEN '2005' END AS publication_date,
+       CASE v WHEN 0 THEN '2001-2-3' WHEN 1 THEN '1998' WHEN 4 THEN '2020-5-10' WHEN 6 THEN '1999-12' WHEN 3 THEN '2005' END AS iso_date, CASE WHEN v = 6 THEN 'Univ, ' || k END AS thesis_institution,
+       CASE v WHEN 1 THEN 'Sponsor, Div' WHEN 6 THEN 'Univ, ' || k WHEN 7 THEN 'Group, West; Fund' ELSE '' END AS institutions FROM d
+""")
+def citation_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a citation of one of eight kinds, or of none: its type and the fields that depend on it."""
+    key, k = F.col("doc_id"), F.col("doc_id").cast("string")
+    with_key = lambda text: F.concat(F.lit(text), k)
+    title, monograph = {"012": _occ({"_": with_key("cited ")})}, {"018": _occ({"_": with_key("monograph ")})}
+    country = F.when(key % 2 == 0, "Brasil").otherwise("nd")
+    variants = [
+        title | monograph | {"150": _occ({"_": country, "a": with_key("P"), "b": "20010101", "c": "20010203", "d": "Office"})},
+        title | {"053": _occ({"_": with_key("Meeting "), "n": "7"}, {"_": "Second"}), "052": _occ({"_": "Sponsor", "d": "Div"}), "055": _occ({"_": "19980000"})},
+        title | monograph,
+        title | {"030": _occ({"_": with_key("journal ")}), "065": _occ({"_": "2005"})},
+        {"037": _occ({"_": with_key("http://h/")}), "110": _occ({"_": "20200510"})},
+        title | {"071": _occ({"_": "data"})},
+        {"051": _occ({"_": "Dr"}), "050": _occ({"_": "Univ", "d": k}), "045": _occ({"_": "19991200"})},
+        monograph | {"017": _occ({"_": "Group", "d": "West"}), "058": _occ({"_": "Fund"})},
+        {"706": _occ({"_": "c"})},
+    ]
+    record = F.coalesce(*[F.when(key % len(variants) == i, _record(v)) for i, v in enumerate(variants)])
+    docs = _table(spark, sf_dir, "documents").select(F.lit("dump").alias("path"), key.alias("grp"), k.alias("pid"), F.array(record).alias("citations"))
+    shown = ["publication_type", "article_title_text", "chapter_title", "data_title", "source", "conference_name", "conference_sponsor", "patent_id", "patent_country", "patent_organization", "publication_date", "iso_date", "thesis_institution"]
+    return entities.citations(docs).select(F.col("grp").alias("key"), *shown, F.array_join("institutions", "; ").alias("institutions"))
