@@ -36,17 +36,20 @@ def test_stages(spark, sf):
 
 
 def test_run_and_queries(spark, sf):
-    """Every query returns all that its contract names: a row for each document, message, query or piece."""
+    """Every query returns all that its contract names: a row for each document, message, query, piece, word or step."""
     import corpus_pipeline as p
 
     n = {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("documents", "conversations")}
     ids = {r.doc_id for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert {r.doc_id for r in p.run(spark, sf).collect()} < ids
-    wanted = {"op1": n["documents"], "op3": n["documents"], "op5": n["documents"], "op6": n["documents"], "op7": n["documents"], "op8": n["documents"], "op10": n["conversations"], "op2": 25 * 20}
+    wanted = {"op1": n["documents"], "op3": n["documents"], "op5": n["documents"], "op6": n["documents"], "op7": n["documents"], "op8": n["documents"], "op10": n["conversations"], "op2": 25 * 20, "op13": n["documents"]}
+    wanted["op12"] = 600 * spark.read.parquet(f"{sf}/documents.parquet").selectExpr("coalesce(lang, '') AS part").distinct().count()
     for name, query in queries().items():
         rows = query(spark, sf).collect()
         if (op := name.split("_")[0]) in wanted:
             assert len(rows) == wanted[op], name
+        elif op == "op11":  # a row for each frequent word
+            assert rows and len({r.word for r in rows}) == len(rows)
         else:
             assert rows and {r.doc_id for r in rows} <= ids, name
 
