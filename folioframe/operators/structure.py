@@ -24,14 +24,15 @@ def enclosing(nodes: DataFrame, key: str, container: Column, name: str) -> DataF
     """
     is_one = F.coalesce(container, F.lit(False))
     marked = nodes.withColumn("_is", is_one)
-    begins = marked.select("*", (2 * F.col("node")).alias("_at"), F.col("_is").cast("int").alias("_step"))
-    ends = marked.filter("_is").select(F.col(key), (2 * last_node() + 1).alias("_at"), F.lit(-1).alias("_step"))
-    line = begins.unionByName(ends, allowMissingColumns=True)
+    begin = F.struct((2 * F.col("node")).alias("_at"), F.col("_is").cast("int").alias("_step"), F.lit(False).alias("_end"))
+    end = F.struct((2 * last_node() + 1).alias("_at"), F.lit(-1).alias("_step"), F.lit(True).alias("_end"))
+    # one row for each event, so that the nodes are read once
+    line = marked.select("*", F.inline(F.filter(F.array(begin, end), lambda e: ~e["_end"] | F.col("_is"))))
     # ends of nested containers may share a place; their order does not matter
     w = Window.partitionBy(key).orderBy("_at")
     line = line.withColumn("_open", F.sum("_step").over(w.rangeBetween(Window.unboundedPreceding, 0)))
     # a container is itself open at its place; what encloses it is one level up
-    line = line.filter("node IS NOT NULL").withColumn("_level", F.col("_open") - F.col("_is").cast("int"))
+    line = line.filter("NOT _end").withColumn("_level", F.col("_open") - F.col("_is").cast("int"))
     containers = F.when(F.col("_is"), F.struct(F.col("_open").alias("level"), "node"))
     rows = F.array(F.struct(F.col("_level").alias("l"), F.lit(False).alias("c")), F.struct(F.when(F.col("_is"), F.col("_open")).alias("l"), F.lit(True).alias("c")))
     each = line.withColumn("_c", containers).select("*", F.inline(F.filter(rows, lambda r: r["l"].isNotNull())))

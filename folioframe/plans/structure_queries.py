@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioframe.functions.columns import spread
 from folioframe.operators import nodes, structure
 from folioframe.plans.catalogue import _pages, query
+from folioframe.sources.scratch import stored
 
 _PLANTED = (
     '<section id="s1"><p><a href="#t1">one</a></p><section id="s2"><p><a href="#s1">two</a></p><table id="t1"><tr><td><a href="#none">three</a></td><td><b id="n1">n</b></td></tr></table><p><a href="#n1">four</a></p></section>'
@@ -33,11 +34,11 @@ UNION ALL SELECT page_id, most + k, href, holder, section, tab, target FROM m, v
 def link_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each link of every page, in order, with the nearest of nav, article, section and table that holds it, its section, its table, and the tag that its address names."""
     pages = spread(_pages(spark, sf_dir)).select("page_id", F.concat("html", F.lit(_PLANTED)).alias("html"))
-    table = nodes.node_table(pages, "page_id", "html")
+    table = nodes.node_table(pages, "page_id", "html").select("page_id", "node", "post", "depth", "tag", "attrs")
     tag, id_ = F.col("tag"), F.col("attrs")["id"]
     for name, tags in (("_holder", ["nav", "article", "section", "table"]), ("_section", ["section"]), ("_tab", ["table"])):
         table = structure.enclosing(table, "page_id", tag.isin(tags), name)
-    table = table.select("page_id", "node", "tag", "attrs", "_holder", "_section", "_tab")
+    table = stored(table.select("page_id", "node", "tag", "attrs", "_holder", "_section", "_tab"))  # read several times
     href = F.col("attrs")["href"]
     links = table.filter((tag == "a") & href.isNotNull())
     named = structure.referred(table, "page_id", F.when(tag == "a", F.regexp_extract(href, "^#(.+)$", 1)), id_).select(F.col("page_id").alias("_p"), F.col("node").alias("_n"), "target_tag")
