@@ -274,7 +274,7 @@ def learn_patterns(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS
         if score is None:
             own = own.withColumn("instance", F.coalesce("instance", F.lit(0.0)))
         else:
-            doubt = lookup(graph.filter("kind IS NULL"), score, "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("value_score"))
+            doubt = lookup(graph.filter("kind IS NULL"), score.select("pattern", "score"), "pattern").groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("score")))))).alias("value_score"))
             own = lookup(own, doubt, "value", "left").withColumn("instance", F.coalesce("instance", "value_score", F.lit(0.0)))
         before, score = score, written(own.groupBy("pattern", "best", "seeds").agg((F.sum("instance") / (F.count("*") + 0.25)).alias("score")).select("pattern", F.col("best").alias("kind"), "score"))
         if before is not None:

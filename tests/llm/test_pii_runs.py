@@ -58,3 +58,14 @@ def test_long_texts_take_linear_time():
         base, began = base_spans(text) if "@" in text else [], time.time()
         candidate_runs(text, base), candidate_spans(text, base)
         assert time.time() - began < 10
+
+
+def test_patterns_with_many_candidates_are_scored(spark):
+    """A pattern with over a thousand values that no fixed pattern explains is looked up as a heavy key."""
+    rows = [(i, f"write to u{i}@x.org now" if i % 2 else f"then sign in as a{i} now" if i % 20 else f"write to u{i}@x now", None, None, 0) for i in range(4000)]
+    rows += [(i, f"reach u{i}@x now", None, None, 0) for i in range(4000, 5200)] + [(i, f"reach u{i}@x.org now", None, None, 0) for i in range(5200, 5210)]
+    found = {r.doc_id: r.spans for r in find_pii(table(spark, rows)).collect()}
+    assert len(found) == len(rows) and found[1] == "email:9:17"
+    assert found[20] == "email:9:14"  # its context is that of addresses
+    assert found[2] == "" and found[4000] == ""
+    assert len(redact_pii(table(spark, rows)).collect()) == len(rows)
