@@ -238,3 +238,9 @@ def test_embedded_files_come_from_a_table(spark):
 def test_mixed_citations(spark):
     df = spark.createDataFrame([("<body><p>One <i>two</i></p><p>three</p></body>",), ("no paragraph",), (None,)], "t string")
     assert [r.x for r in df.select(citations.mixed_citations("t").alias("x")).collect()] == ["<mixed-citation>One <i>two</i></mixed-citation>", None, None]
+
+
+def test_references_without_a_semicolon_are_text():
+    html = '<p id="a" title="x&copy=1&amp;b">Ti&amp</p><p>tle&quot<i>b&eacute;c</i> R&#38;D &#38 x\ufffe</p>'
+    assert write(parse(html)) == '<root><p id="a" title="x&amp;copy=1&amp;b">Ti&amp;amp</p><p>tle&amp;quot<i>béc</i> R&amp;D &amp;#38 x?</p></root>'
+    assert "denti&amp;amp<" in write(body.convert({"before": "<h1>denti&amp</h1><p>Text</p>"})[0])
