@@ -178,6 +178,9 @@ def references_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- whole articles ----------------------------------------------------------------------------
 
+#: Year, issue and place of the document with key 0, 13 digits in all; keys beyond 99999 go on in the next issue.
+_FIRST_PID = 2019_0001_00000
+
 
 def _between(xml: Column, tag: str) -> Column:
     return F.regexp_extract(xml, rf"<{tag}(?: [^>]*)?>([^<]*)</{tag}>", 1)
@@ -192,7 +195,7 @@ def assembled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as documents, joined to fifty journals, to their citations, bodies and licenses: what of each comes through into the article."""
     groups = _documents(spark, sf_dir)
     issn = F.lpad((F.col("grp") % 50).cast("string"), 9, "0")
-    pid = F.concat(F.lit("S"), issn, F.lit("20190001"), F.lpad(F.col("grp").cast("string"), 5, "0"))
+    pid = F.concat(F.lit("S"), issn, (F.lit(_FIRST_PID) + F.col("grp")).cast("string"))
     docs = entities.documents(groups.withColumn("pid", pid)).withColumn("doi", F.concat(F.lit("10.1/"), F.col("grp").cast("string")))
     journals = spark.range(50).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("i"))
     one = lambda v: F.array(F.create_map(F.lit("_"), v))
@@ -205,7 +208,7 @@ def assembled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = article.assemble_articles(docs, journals, entities.citations(docs), bodies, licenses)
     xml = F.col("xml")
     return made.select(
-        F.substring("pid", 19, 5).cast("long").alias("key"), _between(xml, "journal-title").alias("journal_title"), _between(xml, "article-title").alias("article_title"), _between(xml, "surname").alias("surname"),
+        (F.substring("pid", 11, 13).cast("long") - _FIRST_PID).alias("key"), _between(xml, "journal-title").alias("journal_title"), _between(xml, "article-title").alias("article_title"), _between(xml, "surname").alias("surname"),
         F.regexp_count(xml, F.lit("<ref id=")).cast("long").alias("n_refs"), F.regexp_extract(xml, 'ref-count count="([0-9]*)"', 1).alias("ref_count"), F.regexp_extract(xml, '<ref id="B([^"]*)"', 1).alias("ref_label"),
         _between(xml, "source").alias("ref_source"), F.regexp_extract(xml, 'license-type="open-access" xlink:href="([^"]*)"', 1).alias("license"), F.regexp_extract(xml, "<p>(Body of [^<]*)</p>", 1).alias("body"),
         _between(xml, "volume").alias("volume"), F.regexp_extract(xml, '<article-id pub-id-type="doi">([^<]*)<', 1).alias("doi"), F.size("errors").cast("long").alias("n_errors"),
