@@ -20,3 +20,9 @@ def test_keys_beyond_five_digits(made):
     found = con.execute(__spark_entry__.oracle_sql()["assembled_articles"])
     names = [d[0] for d in found.description]
     assert sorted(tuple(r) for r in got.select(*names).collect()) == sorted(found.fetchall())
+
+
+def test_no_row_for_each_document_is_broadcast(spark, made):
+    """Bodies, citations and licenses are as many as the documents, whatever Spark takes their size to be; journals are few."""
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 3 and plan.count("BroadcastHashJoin") <= 1, plan
