@@ -1,7 +1,8 @@
 """Registered queries that classify every heading of the pages and every line of the documents.
 
 The given texts hold hardly any words that tell a type, so each is put behind a beginning that does, or tells none, by its place. What each beginning is
-stands here as a literal, in the tables that the SQL joins; no pattern of the library is part of an answer.
+stands here as a literal, in the tables that the SQL joins; no pattern of the library is part of an answer. Headings are the exception: their own words can
+change the type, so their SQL tries the fixed patterns on the whole title, one by one, in DuckDB's own expression engine, and a test holds the literals against it.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioframe.functions import pattern_tables as T
 from folioframe.functions import patterns
 from folioframe.plans.catalogue import _pages, _table, query
 
@@ -43,8 +45,12 @@ SECTIONS = [
 ]
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _values(rows: list[tuple]) -> str:
-    one = lambda v: "CAST(NULL AS VARCHAR)" if v is None else "'" + v.replace("'", "''") + "'"
+    one = lambda v: "CAST(NULL AS VARCHAR)" if v is None else _lit(v)
     return "(VALUES " + ", ".join(f"({i}, {', '.join(map(one, row))})" for i, row in enumerate(rows)) + ")"
 
 
@@ -89,11 +95,28 @@ l AS (SELECT page_id, CAST(pos AS BIGINT) AS pos, trim(regexp_replace(regexp_rep
 """
 
 
-@query(_HEADINGS + f"SELECT page_id, pos, v.t || ' ' || length(l.t) AS title, v.sec_type FROM l JOIN {_values(SECTIONS)} v(i, t, sec_type) ON v.i = (page_id + pos) % {len(SECTIONS)}")
+
+
+def _case(table: patterns.Table, text: str) -> str:
+    """The first row of a pattern table that matches."""
+    tests = [(("(?i)" if loose else "") + (f"^(?:{p})" if table.anchored else p), kind) for p, loose, kind in table.rows]
+    return "CASE " + " ".join(f"WHEN regexp_matches({text}, {_lit(p)}) THEN {_lit(kind)}" for p, kind in tests) + " END"
+
+
+_KINDS = "[" + ", ".join(f"CASE WHEN regexp_matches(trim(p), {_lit('(?i)' + x)}) THEN {_lit(kind)} END" for x, _, kind in patterns.SECTION_PARTS.rows) + "]"
+
+
+@query(_HEADINGS + f"""
+, whole AS (SELECT page_id, pos, v.t || ' ' || l.t AS title, trim(v.t || ' ' || l.t) AS t FROM l JOIN {_values(SECTIONS)} v(i, t, sec_type) ON v.i = (page_id + pos) % {len(SECTIONS)}),
+parts AS (SELECT *, regexp_split_to_array(lower(t), {_lit(T.CONNECTORS)}) AS p FROM whole),
+found AS (SELECT *, list_filter(flatten(list_transform(p, lambda p: {_KINDS})), lambda k: k IS NOT NULL) AS f FROM parts),
+one AS (SELECT *, list_filter(f, lambda k, i: list_position(f, k) = i) AS kinds FROM found)
+SELECT page_id, pos, title, coalesce({_case(patterns.COMBINED, 'lower(t)')}, CASE WHEN len(p) > 1 AND len(kinds) > 1 THEN array_to_string(kinds, '|') END, {_case(patterns.SECTIONS, 't')}) AS sec_type FROM one
+""")
 def heading_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every heading of the pages, its words replaced by a title and their length: any "and" of theirs would make another title of it."""
+    """Every heading of the pages, with all its words, behind a title; an "and" among the words can make another type of it."""
     found = F.regexp_extract_all("html", F.lit("(?is)<h[1-6][^>]*>(.*?)</h[1-6]>"), F.lit(1))
     titles = _pages(spark, sf_dir).select("page_id", F.posexplode(found).alias("pos", "t")).withColumn("pos", (F.col("pos") + 1).cast("long"))
     heading = F.trim(F.regexp_replace(F.regexp_replace("t", "<[^>]*>", ""), r"\s+", " "))
-    titles = titles.select("page_id", "pos", F.concat(_planted(SECTIONS, F.col("page_id") + F.col("pos")), F.lit(" "), F.length(heading)).alias("title"))
+    titles = titles.select("page_id", "pos", F.concat(_planted(SECTIONS, F.col("page_id") + F.col("pos")), F.lit(" "), heading).alias("title"))
     return titles.select("page_id", "pos", "title", patterns.section_type(F.col("title")).alias("sec_type"))

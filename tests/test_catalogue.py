@@ -58,3 +58,17 @@ def test_classes_are_all_there(con, name):
         for r in rows:
             counts[r[i]] = counts.get(r[i], 0) + 1
         assert len(counts) > 3 and min(counts.values()) * 100 >= len(rows) and counts.get(None, 0) * 3 <= 2 * len(rows), counts
+
+
+def test_headings_keep_their_words(spark, sf, con):
+    """The words of every heading are part of its title; where they hold no connector, its type is the literal of the title before them."""
+    from folioframe.plans.title_queries import _HEADINGS, SECTIONS
+
+    words = {(page, pos): t for page, pos, t in con.execute(_HEADINGS + "SELECT page_id, pos, t FROM l").fetchall()}
+    got = {(r.page_id, r.pos): r for r in catalogue.queries()["heading_sections"](spark, sf).collect()}
+    assert got.keys() == words.keys() and len({r.title for r in got.values()}) > len(got) / 2
+    for (page, pos), r in got.items():
+        title, kind = SECTIONS[(page + pos) % len(SECTIONS)]
+        assert r.title == f"{title} {words[page, pos]}"
+        if not {"and", "&", "e", "y", "et", "und", "en", "com", "avec", "mit", "met"} & set(words[page, pos].lower().split()):
+            assert r.sec_type == kind, r
