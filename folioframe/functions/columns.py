@@ -27,3 +27,10 @@ def spread(df: DataFrame) -> DataFrame:
     """For work that is heavy for each row: rows of fewer partitions than there are cores are dealt out; larger tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def dealt(df: DataFrame, *by: str, rows: int = 25_000) -> DataFrame:
+    """For work that is heavy for each of many narrow rows, which files hold in few partitions, however these are cut: every core
+    has rows, and no task many more than ``rows``; with columns ``by``, equal ones meet in a task. Rows are counted for it, so give few columns."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(n, *by)

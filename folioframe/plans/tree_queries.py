@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.functions.columns import spread
+from folioframe.functions.columns import dealt, spread
 from folioframe.operators import article, body, citations, entities
 from folioframe.plans.catalogue import _pages, _table, query
 from folioframe.plans.entity_queries import _documents
@@ -113,7 +113,7 @@ def article_fronts(spark: SparkSession, sf_dir: str) -> DataFrame:
         original_abstract=text("Abstract ", k), translated_abstracts=F.array(struct(language=F.lit("es"), text=text("Resumen ", k)), struct(language=F.lit(None).cast("string"), text=F.lit("lost"))),
         keyword_groups=struct(en=F.array(F.lit("one"), text("two ", k))), fulltexts=F.array(struct(uri=text("http://u/", k), lang="en", uri_text=text("text ", k))),
     )
-    made = _table(spark, sf_dir, "customer").select(key.alias("key"), article.article_xml(F.to_json(d)).alias("a"))
+    made = dealt(_table(spark, sf_dir, "customer").select("c_custkey")).select(key.alias("key"), article.article_xml(F.to_json(d)).alias("a"))
     return made.select("key", F.md5("a.xml").alias("md5"), F.size("a.errors").cast("long").alias("n_errors"), F.col("a.errors")[0]["action"].alias("failed"))
 
 
