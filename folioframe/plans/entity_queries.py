@@ -179,6 +179,10 @@ pmid=238 pmcid=239 index_number=701 paragraph_text=704 etal=810
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _document_groups(_table(spark, sf_dir, "part"), F.col("p_partkey").cast("string"))
+
+
+def _document_groups(parts: DataFrame, pid: Column) -> DataFrame:
     """Parts as document groups: a record of type o, one of type f, two citations and three paragraphs."""
     key, k = F.col("p_partkey"), F.col("p_partkey").cast("string")
     kind = lambda t: {"706": _occ({"_": t})}
@@ -219,7 +223,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     paragraph = lambda text, ref: kind("p") | {"704": _occ({"_": text}), "888": _occ({"_": ref})}
     records = [kind("o") | {"091": _occ({"_": "20210101"})}, front, journal, thesis, paragraph("before", F.lit("")), paragraph(with_key("ref "), k), paragraph("after", F.lit("")), kind("x")]
-    return _table(spark, sf_dir, "part").select(F.lit("dump").alias("path"), key.alias("grp"), k.alias("pid"), F.array(*[_record(r) for r in records]).alias("records"))
+    return parts.select(F.lit("dump").alias("path"), key.alias("grp"), pid.alias("pid"), F.array(*[_record(r) for r in records]).alias("records"))
 
 
 def _without(names: str, *gone: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioframe.functions.columns import dealt, spread
 from folioframe.operators import article, body, citations, entities
 from folioframe.plans.catalogue import _pages, _table, query
-from folioframe.plans.entity_queries import _documents
+from folioframe.plans.entity_queries import _document_groups
 
 # Markup that each page is given after its own: two headings, emphasis, an image, a table, a list, a link.
 _MORE = (
@@ -193,10 +193,11 @@ SELECT key, 'Journal ' || issn AS journal_title, 'title ' || k AS article_title,
 """)
 def assembled_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts as documents, joined to fifty journals, to their citations, bodies and licenses: what of each comes through into the article."""
-    groups = _documents(spark, sf_dir)
-    issn = F.lpad((F.col("grp") % 50).cast("string"), 9, "0")
-    pid = F.concat(F.lit("S"), issn, (F.lit(_FIRST_PID) + F.col("grp")).cast("string"))
-    docs = entities.documents(groups.withColumn("pid", pid)).withColumn("doi", F.concat(F.lit("10.1/"), F.col("grp").cast("string")))
+    issn = F.lpad((F.col("p_partkey") % 50).cast("string"), 9, "0")
+    pid = F.concat(F.lit("S"), issn, (F.lit(_FIRST_PID) + F.col("p_partkey")).cast("string"))
+    # dealt out by pid while they are keys alone: what is made of them stays where it is joined
+    parts = dealt(_table(spark, sf_dir, "part").select("p_partkey", pid.alias("pid")), "pid")
+    docs = entities.documents(_document_groups(parts, F.col("pid"))).withColumn("doi", F.concat(F.lit("10.1/"), F.col("grp").cast("string")))
     journals = spark.range(50).select(F.lpad(F.col("id").cast("string"), 9, "0").alias("i"))
     one = lambda v: F.array(F.create_map(F.lit("_"), v))
     journals = entities.journals(journals.select(F.create_map(F.lit("v400"), one(F.col("i")), F.lit("v100"), one(F.concat(F.lit("Journal "), "i"))).alias("record")))

@@ -1,11 +1,14 @@
 """Queries with heavy work on narrow tables: many tasks share it, however few partitions the files make."""
 
+import inspect
+import re
+
 import duckdb
 import pytest
 
 import __spark_entry__
 from folioframe.functions.columns import dealt
-from folioframe.operators import body
+from folioframe.operators import article, body, citations
 from folioframe.operators.trees import _Builder, parse, write
 
 
@@ -50,3 +53,20 @@ def test_a_failed_step_leaves_the_tree_before_it(monkeypatch):
     monkeypatch.setattr(body, "STEPS", [*body.STEPS[:3], ("spoiled", [spoil]), *body.STEPS[3:]])
     xml, _, errors = body.convert(parts)
     assert write(xml) == want and [e["action"] for e in errors] == ["spoiled"]
+
+
+def test_parts_are_dealt_out_as_keys_and_only_read_attributes_are_made(spark, tmp_path):
+    spark.range(1, 41, numPartitions=1).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    got = __spark_entry__.queries()["assembled_articles"](spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "complete_publication_date" not in plan and "first_author" not in plan
+    _same_as_sql(got, "assembled_articles", "part", tmp_path)
+
+
+def test_read_attributes_are_those_that_the_rules_name():
+    source = inspect.getsource(article)
+    named = set(re.findall(r"""\bd(?:\.get\(|\[)"(\w+)\"""", source)) | set(re.findall(r'\("(\w+_date_iso)", "', source)) | {"pid_v1", "pid_v2", "pid_v3"}
+    assert named - {"detector"} <= article.READ and all(f'"{x}"' in source or x.startswith("pid_v") for x in article.READ)
+    source = inspect.getsource(citations)
+    named = set(re.findall(r"""\bc(?:\.get\(|\[)"(\w+)\"""", source)) | set(re.findall(r'_simple\("[\w-]+", "(\w+)"', source))
+    assert named <= citations.READ
